@@ -1,8 +1,64 @@
-"""A corpus pipeline of five stages."""
+"""Raw documents to packed training sequences in five stages.
 
-STAGES: list = []
+Each stage takes (spark, docs, sf_dir) and returns the rows and columns that the next one works on;
+``run`` writes every stage to the shared folder and reads it back.
+"""
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from millrace.llm.op2_jaccard_join import jaccard_classes
+from millrace.llm.op4_language_id import identify
+from millrace.llm.op5_pii import masked
+from millrace.llm.op8_packing import TOKENIZER, pack
+from millrace.llm.op9_line_dedup import without_boilerplate
+from millrace.plans.ship import ship
+from millrace.plans.work import written
+from millrace.sources import table
+
+#: Mean probability of the best language below which a document is not in any known language.
+SURE = 0.5
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a known language; ones without a letter, or of no clear language, go."""
+    ship(spark)
+    return identify(docs).where((F.col("lang_pred") != "und") & (F.col("score") >= SURE)).select(*docs.columns)
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without cross-site boilerplate; a document of which no letter is left goes: all it had stays elsewhere."""
+    ship(spark)
+    out = without_boilerplate(docs).where((F.col("n_removed") == 0) | F.col("text").rlike(r"\p{L}"))
+    return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near-duplicates, the one with the smallest doc_id."""
+    ship(spark)
+    kept = jaccard_classes(docs).where("kept").select("doc_id").distinct()
+    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+
+
+def personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data in texts gives way to its kind."""
+    return masked(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of token sequences."""
+    ship(spark)
+    return pack(docs, public_tokenizers.path(TOKENIZER))
+
+
+STAGES = [("language_id", language), ("line_dedup", lines), ("jaccard_join", near_duplicates), ("pii", personal), ("packing", packing)]
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+    return docs
