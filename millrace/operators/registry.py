@@ -1,4 +1,7 @@
 """Every query of the library by name, with its DuckDB SQL."""
 
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
+from millrace.operators import cleaning, statistics
+
+_MODULES = (cleaning, statistics)
+QUERIES = {name: q for m in _MODULES for name, q in m.QUERIES.items()}
+SQL = {name: q for m in _MODULES for name, q in m.SQL.items()}
