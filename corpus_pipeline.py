@@ -18,7 +18,7 @@ from millrace.plans.work import written
 from millrace.sources import table
 
 #: Mean probability of the best language below which a document is not in any known language.
-SURE = 0.5
+SURE = 0.4
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

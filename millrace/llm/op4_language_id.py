@@ -231,7 +231,7 @@ def _lanes(data: np.ndarray, off: np.ndarray):
         first = off[:-1][t] + w * SPAN
         span = int(np.minimum(off[1:][t] - first, SPAN).max())
         at = first[:, None] + np.arange(span)
-        x = np.where(at < off[1:][t][:, None], data[np.minimum(at, len(data) - 1)], 256).astype(np.int16)
+        x = np.where(at < off[1:][t][:, None], data[np.minimum(at, len(data) - 1)].astype(np.int16), np.int16(256))
         yield 0, len(n), x, t
 
 
