@@ -62,8 +62,13 @@ def is_valid(text: Column | str, title: Column | str, min_chars: int = 100, min_
 def shingles(c: Column | str, n: int) -> Column:
     """The distinct word n-grams of a text: ASCII letters and digits, lower case; fewer than n words: the words."""
     words = F.regexp_extract_all(F.lower(F.coalesce(_c(c), F.lit(""))), F.lit("[a-z0-9]+"), F.lit(0))
-    grams = F.transform(F.sequence(F.lit(1), F.size(words) - n + 1), lambda i: F.array_join(F.slice(words, i, F.lit(n)), " "))
-    return F.array_distinct(F.when(F.size(words) < n, words).otherwise(grams))
+
+    def grams(w: Column) -> Column:
+        each = F.transform(F.sequence(F.lit(1), F.size(w) - n + 1), lambda i: F.array_join(F.slice(w, i, F.lit(n)), " "))
+        return F.array_distinct(F.when(F.size(w) < n, w).otherwise(each))
+
+    # a lambda's argument is evaluated once; a captured expression would be once for every n-gram
+    return F.element_at(F.transform(F.array(words), grams), 1)
 
 
 def normalize_answer(c: Column | str) -> Column:
