@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.functions.features import CASCADE, QUESTION_FEATURES, question_to_feature
+from millrace.functions.features import question_to_feature
 from millrace.functions.text import answers_match, normalize_answer
 from millrace.operators.statistics import rounded
 from millrace.sources import table
@@ -193,4 +193,3 @@ FROM (SELECT * FROM conversations WHERE role = 'user') u LEFT JOIN (SELECT * FRO
     "requery_ids": "SELECT doc_id FROM (SELECT doc_id, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS r FROM documents) WHERE r > 1",
     "islands": "SELECT min(doc_id) AS first, max(doc_id) AS last, count(*) AS length FROM (SELECT doc_id, doc_id - row_number() OVER (ORDER BY doc_id) AS g FROM (SELECT DISTINCT doc_id FROM labels)) GROUP BY g",
 }
-assert CASCADE and QUESTION_FEATURES

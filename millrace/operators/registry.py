@@ -1,7 +1,7 @@
 """Every query of the library by name, with its DuckDB SQL."""
 
-from millrace.operators import cleaning, dedup, qa, splits, statistics
+from millrace.operators import cleaning, dedup, entities, prompts, qa, retrieval, splits, statistics, web
 
-_MODULES = (cleaning, statistics, dedup, splits, qa)
+_MODULES = (cleaning, statistics, dedup, splits, qa, prompts, retrieval, web, entities)
 QUERIES = {name: q for m in _MODULES for name, q in m.QUERIES.items()}
 SQL = {name: q for m in _MODULES for name, q in m.SQL.items()}
