@@ -14,8 +14,9 @@ from millrace.sources import table
 
 WIDTH, THRESHOLD = 5, 0.8
 #: Sampled tokens (minima) of a set; runs; rows above which a bucket is split in Spark and below
-#: which it is compared without a further split; splits of an oversized bucket; rows of a task.
-TOKENS, RUNS, SPLIT, LEAF, DEPTH, BLOCK = 48, 8, 1000, 48, 4, 192
+#: which it is compared without a further split; splits of an oversized bucket; rows of a block of
+#: a bucket that splits do not divide; rows of a comparison task.
+TOKENS, RUNS, SPLIT, LEAF, DEPTH, PAIRED, BLOCK = 48, 8, 1000, 48, 4, 2000, 192
 
 
 def sketches(docs: DataFrame, width: int) -> DataFrame:
@@ -50,9 +51,11 @@ def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD, width: int =
        two sets share each with the probability of their Jaccard similarity.
     2. A chosen-path join proposes pairs. In each of ``n_runs`` runs the classes are split on one
        sampled token; a bucket above ``SPLIT`` rows is split again in Spark on two further sampled
-       tokens (a pair may follow either), up to ``DEPTH`` times, and what is still larger is dealt
-       into pairs of blocks, so that no bucket is left out. Inside a task, buckets above ``LEAF``
-       rows split on; leaves are compared by brute force on all 48 tokens and leave as a forest.
+       tokens (a pair may follow either), up to ``DEPTH`` times. A large bucket that keeps over
+       half of its parent's rows is one of near copies, which no token divides: it is dealt into
+       pairs of blocks, and so is what is still large at the end, so that no bucket is left out.
+       Inside a task, buckets above ``LEAF`` rows split on while tokens divide them; leaves are
+       compared by brute force on all 48 tokens. A task's pairs leave it as one spanning forest.
        One run misses a pair at the threshold with probability 0.2 at depth 1, eight with 3e-6; at
        depth d with two branches per split the chance stays above 0.8 * 0.96 ** (d - 1) per run.
     3. Components of these pairs are compared exactly, block by block, on their whole shingle sets;
@@ -102,29 +105,34 @@ def chosen_pairs(sets: DataFrame, agree: int, n_runs: int) -> DataFrame:
     token = lambda c: F.element_at("tokens", F.pmod(c, F.lit(TOKENS)).cast("int") + 1)
     level = sets.select(F.explode(F.sequence(F.lit(0), F.lit(n_runs - 1))).alias("run"), "rep", "tokens")
     level = level.select(F.xxhash64("run", token(F.col("run") * 5)).alias("node"), "run", "rep", "tokens")
+    level = level.withColumn("parent", F.lit(None).cast("long"))
     ready = []
+
+    def dealt(rows: DataFrame) -> DataFrame:
+        """Rows of large buckets, once for every pair of blocks that theirs is in."""
+        n = F.ceil(F.col("count") / F.lit(float(PAIRED))).cast("int")
+        rows = rows.withColumn("own", F.pmod(F.xxhash64("rep"), n).cast("int"))
+        rows = rows.select("*", F.explode(F.sequence(F.lit(0), n - 1)).alias("other"))
+        return rows.select("node", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "rep", "tokens")
+
     for depth in range(1, DEPTH + 1):
-        hot = written(level.groupBy("node").count().where(F.col("count") > SPLIT), "hot")
+        hot = written(level.groupBy("node").agg(F.count("*").alias("count"), F.min("parent").alias("of")).where(F.col("count") > SPLIT), "hot")
+        small = level if hot.isEmpty() else level.join(hot.select("node"), "node", "left_anti")
+        ready.append(small.select("node", F.lit(0).alias("a"), F.lit(0).alias("b"), "rep", "tokens"))
         if hot.isEmpty():
-            hot = None
             break
-        ready.append(level.join(hot, "node", "left_anti").withColumns({"a": F.lit(0), "b": F.lit(0), "own": F.lit(0)}))
-        level = level.join(hot, "node")
+        last = F.lit(depth == DEPTH) | F.coalesce(F.col("count") > F.col("of") / 2, F.lit(False))
+        large = level.drop("parent").join(hot.withColumn("last", last), "node")
+        ready.append(dealt(large.where("last")))
         if depth < DEPTH:
             # two sampled tokens, chosen by the node itself, so that all its rows take the same ones
             pick = lambda k: F.pmod(F.xxhash64("node", F.lit(k)), F.lit(TOKENS))
-            level = level.select(F.explode(F.array(*[F.xxhash64("node", F.lit(k), token(pick(k))) for k in range(2)])).alias("node"), "run", "rep", "tokens")
+            both = F.array(*[F.xxhash64("node", F.lit(k), token(pick(k))) for k in range(2)])
+            level = large.where("NOT last").select(F.explode(both).alias("node"), "run", "rep", "tokens", F.col("count").alias("parent"))
             level = written(level, "level")
-    if hot is None:
-        ready.append(level.withColumns({"a": F.lit(0), "b": F.lit(0), "own": F.lit(0)}))
-    else:
-        n = F.ceil(F.col("count") / F.lit(float(SPLIT))).cast("int")
-        level = level.withColumn("own", F.pmod(F.xxhash64("rep"), n).cast("int"))
-        level = level.select("*", F.explode(F.sequence(F.lit(0), n - 1)).alias("other"))
-        ready.append(level.select("node", "run", "rep", "tokens", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "own"))
     rows = ready[0]
     for x in ready[1:]:
-        rows = rows.unionByName(x.select(rows.columns))
+        rows = rows.union(x)
 
     def leaves(batches):
         for t in runs(batches, ["node", "a", "b"]):
@@ -137,39 +145,42 @@ def chosen_pairs(sets: DataFrame, agree: int, n_runs: int) -> DataFrame:
             if len(left):
                 yield pa.RecordBatch.from_arrays([pa.array(reps[left]), pa.array(reps[right])], ["u", "v"])
 
-    rows = rows.select("node", "a", "b", "rep", "tokens")
     return rows.repartition("node", "a", "b").sortWithinPartitions("node", "a", "b").mapInArrow(leaves, "u long, v long")
 
 
 def _paths(tokens: np.ndarray, agree: int, rng: np.random.Generator) -> tuple[list[int], list[int]]:
-    """Split on sampled tokens down to leaves; a spanning forest of the leaves' likely pairs."""
+    """Split on sampled tokens down to leaves; a spanning forest of all leaves' likely pairs."""
     left: list[int] = []
     right: list[int] = []
     todo = [(np.arange(len(tokens)), 0)]
     while todo:
         rows, depth = todo.pop()
-        if len(rows) <= LEAF or depth >= DEPTH:
-            for s in range(0, len(rows), 256):  # all pairs, a strip at a time; what is linked goes on as one
+        parts = []
+        if len(rows) > LEAF and depth < DEPTH:
+            for c in rng.choice(tokens.shape[1], 2, replace=False):
+                order = rows[np.argsort(tokens[rows, c], kind="stable")]
+                v = tokens[order, c]
+                cuts = [0, *(np.flatnonzero(v[1:] != v[:-1]) + 1).tolist(), len(v)]
+                parts += [(order[s:e], depth + 1) for s, e in zip(cuts[:-1], cuts[1:], strict=True) if e - s > 1]
+        if (len(rows) <= LEAF or depth >= DEPTH or max((len(p[0]) for p in parts), default=0) > len(rows) / 2):
+            for s in range(0, len(rows), 256):  # all pairs, a strip at a time
                 part = tokens[rows[s : s + 256]]
-                same = np.zeros((len(part), len(rows)), np.uint8)
+                same = np.zeros((len(part), len(rows) - s), np.uint8)
                 for c in range(tokens.shape[1]):
-                    same += part[:, c][:, None] == tokens[rows, c][None, :]
+                    same += part[:, c][:, None] == tokens[rows[s:], c][None, :]
                 i, j = np.nonzero(same >= agree)
-                i += s
                 up = i < j
-                i, j = i[up], j[up]
+                i, j = i[up] + s, j[up] + s
                 if len(i):
                     root = np.array(forest(len(rows), i.tolist(), j.tolist()))
                     moved = np.flatnonzero(root != np.arange(len(rows)))
                     left += rows[root[moved]].tolist()
                     right += rows[moved].tolist()
-            continue
-        for c in rng.choice(tokens.shape[1], 2, replace=False):
-            order = rows[np.argsort(tokens[rows, c], kind="stable")]
-            v = tokens[order, c]
-            cuts = [0, *(np.flatnonzero(v[1:] != v[:-1]) + 1).tolist(), len(v)]
-            todo += [(order[s:e], depth + 1) for s, e in zip(cuts[:-1], cuts[1:], strict=True) if e - s > 1]
-    return left, right
+        else:
+            todo += parts
+    root = np.array(forest(len(tokens), left, right))
+    moved = np.flatnonzero(root != np.arange(len(tokens)))
+    return root[moved], moved
 
 
 def jaccard_at_least(t: pa.Table, a: np.ndarray, b: np.ndarray, threshold: float) -> np.ndarray:
