@@ -111,7 +111,7 @@ def answered(prompts: DataFrame, done: DataFrame, client: Callable[[str, int], s
             rows = b.take(pa.array(keep, pa.int32()))
             yield rows.append_column("response", pa.array(said, pa.string()))
 
-    return todo.mapInArrow(ask, todo.schema.add("response", "string"))
+    return todo.mapInArrow(ask, todo.select("*").schema.add("response", "string"))
 
 
 def _articles(s, d):
