@@ -1,0 +1,402 @@
+"""The pipeline operators against brute force, exact round trips or held-out accuracy, with the odd cases."""
+
+import base64
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from millrace.llm import op1_embedding_dedup as op1
+from millrace.llm import op2_jaccard_join as op2
+from millrace.llm import op3_hilbert_search as op3
+from millrace.llm import op4_language_id as op4
+from millrace.llm import op5_pii as op5
+from millrace.llm import op6_preferences as op6
+from millrace.llm import op7_byte_bpe as op7
+from millrace.llm import op8_packing as op8
+from millrace.llm import op9_line_dedup as op9
+from millrace.llm import op10_url_filters as op10
+from millrace.llm.registry import QUERIES, SQL
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def docs_of(spark, rows):
+    return spark.createDataFrame([(i, t, lang, src, None) for i, t, lang, src in rows], DOCS)
+
+
+# 1: embeddings
+
+
+def vectors(spark, rows):
+    return spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+
+
+def cone(rng, n, d=32, spread=0.12):
+    c = rng.standard_normal(d)
+    c /= np.linalg.norm(c)
+    return c + rng.standard_normal((n, d)) * spread / d**0.5
+
+
+def brute_links(rows, threshold=0.9):
+    ok = [(i, np.array(v, float)) for i, v, _ in rows if v and all(x is not None and np.isfinite(x) for x in v) and any(v)]
+    out = {i: 0 for i, _, _ in rows}
+    up = {i: i for i, _, _ in rows}
+
+    def top(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a in range(len(ok)):
+        for b in range(a):
+            (i, x), (j, y) = ok[a], ok[b]
+            if len(x) == len(y) and x @ y / np.linalg.norm(x) / np.linalg.norm(y) >= threshold:
+                out[i] += 1
+                out[j] += 1
+                p, q = top(i), top(j)
+                up[max(p, q)] = min(p, q)
+    return {i: (out[i], top(i)) for i in out}
+
+
+def test_embedding_links(spark):
+    rng = np.random.default_rng(4)
+    parts = [rng.standard_normal((150, 32)), cone(rng, 40), cone(rng, 6, spread=0.3), np.repeat(cone(rng, 1), 30, 0)]
+    rows = [(i, v.astype(np.float32).tolist(), 0) for i, v in enumerate(np.concatenate(parts))]
+    rows += [(900, None, 0), (901, [0.0] * 32, 0), (902, [float("nan")] * 32, 0), (903, [], 0), (904, [1.0, None], 0), (905, [float("inf")] * 32, 0), (906, [1.0, 1.0], 0), (907, [2.0, 2.0], 0)]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in op1.embedding_links(vectors(spark, rows)).collect()}
+    assert got == brute_links(rows)
+    assert op1.embedding_links(vectors(spark, [])).count() == 0
+
+
+def test_embedding_links_in_a_large_cone(spark, monkeypatch):
+    monkeypatch.setattr(op1, "BLOCK", 16)
+    rng = np.random.default_rng(5)
+    rows = [(i, v.astype(np.float32).tolist(), 0) for i, v in enumerate(np.concatenate([cone(rng, 80, spread=0.3), cone(rng, 60, spread=0.5), rng.standard_normal((40, 32))]))]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in op1.embedding_links(vectors(spark, rows)).collect()}
+    assert got == brute_links(rows)
+
+
+# 2: n-gram Jaccard
+
+
+def shingle_sets(text):
+    w = re.findall(r"\w+", (text or "").lower())
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
+def brute_jaccard(rows, threshold=0.8):
+    sets = [(r[0], shingle_sets(r[1])) for r in rows]
+    n = {i: 0 for i, _ in sets}
+    up = {i: i for i, _ in sets}
+
+    def top(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a in range(len(sets)):
+        for b in range(a):
+            (i, x), (j, y) = sets[a], sets[b]
+            if x and y and len(x & y) >= threshold * len(x | y):
+                n[i] += 1
+                n[j] += 1
+                p, q = top(i), top(j)
+                up[max(p, q)] = min(p, q)
+    return {i: (n[i], top(i)) for i in n}
+
+
+def near_rows(rng, groups, each, edits):
+    vocab = [f"w{i}" for i in range(3000)]
+    rows = []
+    for g in range(groups):
+        base = [rng.choice(vocab) for _ in range(120)]
+        for _ in range(each):
+            w = list(base)
+            for _ in range(rng.randrange(edits + 1)):
+                w[rng.randrange(len(w))] = rng.choice(vocab)
+            rows.append((len(rows), " ".join(w), "en", f"s{g % 3}"))
+    return rows
+
+
+def test_jaccard_classes(spark, monkeypatch):
+    rng = random.Random(2)
+    rows = near_rows(rng, 40, 4, 3)
+    rows += [(1000, None, "en", "a"), (1001, "", "en", "a"), (1002, "!!", "en", "a"), (1003, "short one", "en", "a"), (1004, "Short, one", "en", "a"), (1005, "éte 漢字 x y z w", None, None)]
+    got = {r.doc_id: (r.n_links, r.class_id) for r in op2.jaccard_classes(docs_of(spark, rows)).collect()}
+    assert got == brute_jaccard(rows)
+    assert op2.jaccard_classes(docs_of(spark, [])).count() == 0
+    # oversized buckets: split in Spark and dealt in pairs of blocks
+    for name, value in (("SPLIT", 20), ("PAIRED", 15), ("LEAF", 6), ("BLOCK", 10)):
+        monkeypatch.setattr(op2, name, value)
+    rows = near_rows(rng, 1, 90, 2) + [(500 + i, t, "en", "a") for i, (_, t, _, _) in enumerate(near_rows(rng, 5, 6, 2))]
+    got = {r.doc_id: (r.n_links, r.class_id) for r in op2.jaccard_classes(docs_of(spark, rows)).collect()}
+    assert got == brute_jaccard(rows)
+
+
+# 3: nearest neighbours
+
+
+def test_hilbert_curve_is_continuous():
+    cells = np.stack(np.meshgrid(*[np.arange(8)] * 3, indexing="ij"), -1).reshape(-1, 3)
+    keys = op3.hilbert_keys(cells, 3)
+    assert sorted(keys) == list(range(512))
+    path = cells[np.argsort(keys)]
+    assert (np.abs(np.diff(path, axis=0)).sum(1) == 1).all()
+
+
+def test_nearest(spark):
+    rng = np.random.default_rng(8)
+    m = np.concatenate([rng.standard_normal((600, 24)), np.repeat(rng.standard_normal((1, 24)), 40, 0)]).astype(np.float32)
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(m)] + [(800, None, 0), (850, [0.0] * 24, 0), (900, [1.0] * 3, 0)]
+    v = vectors(spark, rows)
+    got = {}
+    for r in op3.nearest(v, v.where("vec_id % 10 = 0")).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    unit = m.astype(float) / np.linalg.norm(m.astype(float), axis=1)[:, None]
+    hit = 0
+    for q in range(0, 640, 10):
+        s = unit @ unit[q]
+        s[q] = -9
+        mine = sorted(got[q])
+        assert [r for r, _, _ in mine] == [1, 2, 3, 4, 5]
+        assert np.allclose([x[2] for x in mine], s[[x[1] for x in mine]])
+        hit += len({x[1] for x in mine} & set(np.lexsort((np.arange(640), -np.round(s, 12)))[:5].tolist()))
+    assert hit / 320 >= 0.9
+    assert not {800, 850, 900} & set(got)
+    assert op3.nearest(vectors(spark, []), vectors(spark, [])).count() == 0
+
+
+# 4: language
+
+
+def test_backpropagation():
+    rng = np.random.default_rng(0)
+    net = op4.ByteGru(["a", "b"], 3, 1)
+    x = rng.integers(0, 5, (4, 2))
+
+    def loss():
+        (f, _), (b, _) = net.forward(x, "f"), net.forward(x, "b")
+        return (f * np.arange(24).reshape(4, 2, 3)).sum() + (b**2).sum()
+
+    hf, kf = net.forward(x, "f")
+    hb, kb = net.forward(x, "b")
+    g = net.backward(x, "f", kf, np.arange(24).reshape(4, 2, 3) * 1.0) | net.backward(x, "b", kb, 2 * hb)
+    for k in g:
+        for at in [(0, 1), (1, 4), (2, 8)]:
+            p = net.p[k]
+            old = p[at]
+            p[at] = old + 1e-5
+            up = loss()
+            p[at] = old - 1e-5
+            down = loss()
+            p[at] = old
+            assert abs((up - down) / 2e-5 - g[k][at]) < 1e-5
+
+
+def test_language(spark, folder):
+    d = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text", "lang")
+    odd = spark.createDataFrame([(None, "Ein Text ohne Nummer und mit der Sprache.", "de"), (10**6, None, "en"), (10**6 + 1, "", None), (10**6 + 2, "12 %% !", "en"), (10**6 + 3, "the and of that " * 3000, None)], "doc_id long, text string, lang string")
+    out = {r.doc_id: r for r in op4.identify(d.union(odd)).collect()}
+    assert [out[10**6 + k].lang_pred for k in range(3)] == ["und"] * 3
+    assert out[10**6 + 3].lang_pred == "en" and None in out
+    held = [r for r in out.values() if r.held_out and r.lang and r.lang_pred != "und"]
+    assert all(zlib.crc32(str(r.doc_id).encode()) % 4 == 2 for r in held)
+    assert sum(r.lang == r.lang_pred for r in held) >= 0.95 * len(held)
+    assert all(0 <= r.score <= 1 for r in out.values())
+    none = op4.identify(d.limit(0)).collect()
+    assert none == []
+
+
+# 5: personal data
+
+PATTERNS = (("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"), ("card", r"[0-9]([\x20-]?[0-9])+"), ("phone", r"\+[0-9][\x20().0-9-]+[0-9]"))
+
+
+def valid(kind, m):
+    d = re.sub("[^0-9]", "", m)
+    if kind == "ip":
+        return all(int(x) <= 255 for x in m.split("."))
+    if kind == "card":
+        total = sum(int(c) if i % 2 == 0 else int(c) * 2 - (9 if int(c) > 4 else 0) for i, c in enumerate(reversed(d)))
+        return 16 <= len(d) <= 19 and total % 10 == 0
+    return kind != "phone" or 8 <= len(d) <= 15
+
+
+def brute_spans(text):
+    return [(k, m.start(), m.end()) for k, p in PATTERNS for m in re.finditer(p, text or "") if valid(k, m.group())]
+
+
+def test_personal_data(spark):
+    rng = random.Random(9)
+    alphabet = ["a", "B", "7", "4", "1", "255", "256", "0", ".", "@", "-", "_", "+", " ", "(", ")", "é", "😀", "%", "\n", "4111111111111111", "+1 555 123 4567", "x.y@z.com"]
+    rows = ["".join(rng.choice(alphabet) for _ in range(40)) for _ in range(400)]
+    rows += [None, "", "1" * 3000, "a" * 5000 + "@", "1.1.1." * 500, "4111 1111 1111 1111", "a@b.c_d@e.f", "﷐a@b.co﷑"]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    for r in op5.digests(df).collect():
+        want = brute_spans(rows[r.doc_id])
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(k == n for k, _, _ in want) for n, _ in PATTERNS]
+        assert r.base_sha256 == hashlib.sha256(",".join("%s:%d:%d" % s for s in want).encode()).hexdigest()
+    assert op5.digests(df.limit(0)).count() == 0
+
+
+def test_iban_scores_and_masks(spark):
+    df = spark.createDataFrame([(1, "Bank account DE89 3704 0044 0532 0130 00, e-mail é@b.co or a@b.co", "keep"), (2, "GB00 1234 5678 9012 34", "keep"), (3, None, "keep")], "doc_id long, text string, spans string")
+    found = op5.findings(op5.personal_data(df)).orderBy("doc_id").collect()
+    assert [(f.kind, f.start, f.end, round(f.score, 2)) for f in found[0].findings] == [("email", 59, 65, 1.0), ("iban", 13, 40, 0.9)]
+    assert found[1].findings == [] and found[2].findings == []
+    assert [(r.text, r.spans) for r in op5.masked(df).orderBy("doc_id").collect()] == [("Bank account <IBAN>, e-mail é@b.co or <EMAIL>", "keep"), ("GB00 1234 5678 9012 34", "keep"), (None, "keep")]
+
+
+# 6: preferences
+
+
+def test_preferences(spark):
+    rows = [
+        (1, "chosen", 0, "user", "q"), (1, "chosen", 1, "assistant", "a<|b"), (1, "rejected", 0, "user", "q"), (1, "rejected", 1, "assistant", "no"), (1, "rejected", 2, "user", "é"),
+        (2, "chosen", 0, None, None), (2, "rejected", 0, None, None), (3, "chosen", 5, "user", "x"), (None, "chosen", 0, "user", "x"), (4, "other", 0, "user", "x"),
+    ]
+    got = {r.pair_id: r for r in op6.preference_pairs(spark.createDataFrame(rows, "pair_id long, side string, turn long, role string, text string")).collect()}
+    assert set(got) == {1, 2, 3}
+    a = got[1]
+    assert (a.n_prompt_turns, a.prompt) == (1, "<|user|>\nq<|end|>\n")
+    assert a.chosen == "<|assistant|>\na<\\|b<|end|>\n" and a.rejected.startswith("<|assistant|>\nno<|end|>\n<|user|>")
+    s, e = map(int, a.chosen_mask.split(":"))
+    assert a.chosen[s:e] == "a<\\|b<|end|>"
+    assert (got[2].n_prompt_turns, got[2].chosen, got[2].rejected) == (1, "", "")
+    assert (got[3].n_prompt_turns, got[3].rejected) == (0, "")
+
+
+# 7 and 8: tokens
+
+
+def odd_texts():
+    rng = random.Random(1)
+    out = [None, "", " ", "it's we'LL 'S", "日本 café ́", "x\x1c\x1d y\x85 z", "a" * 3000, "<|endoftext|>", "İ ΑΣ Σ ß", "\n\n  \t x"]
+    for chars in ("ab", "aab", "eent ", "aA1é ", "\n\t \x85", "漢字カナ", "the and ing"):
+        out += ["".join(rng.choice(chars) for _ in range(n)) for n in (3, 40, 700)]
+    return out
+
+
+def test_byte_pairs(spark):
+    path = public_tokenizers.path(op7.RANKS)
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
+    lib = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    texts = odd_texts()
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in op7.encode_documents(df, path).collect():
+        t = texts[r.doc_id] or ""
+        ids = lib.encode_ordinary(t)
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(t.encode()).hexdigest())
+    assert op7.encode_documents(df.limit(0), path).count() == 0
+
+
+def test_packing(spark):
+    path = public_tokenizers.path(op8.TOKENIZER)
+    lib = Tokenizer.from_file(path)
+    lib.encode_special_tokens = True
+    rng = random.Random(6)
+    texts = odd_texts() + [" ".join(rng.choice("one two threes fourth".split()) for _ in range(rng.randrange(1, 9000))) for _ in range(40)]
+    df = spark.createDataFrame([*enumerate(texts), (3, "again")], "doc_id long, text string").repartition(3)
+    rows = op8.pack(df, path).collect()
+    ids = {i: np.array([*lib.encode(t or "", add_special_tokens=False).ids, 2], "<u4") for i, t in enumerate(texts)}
+    by, seq = {}, {}
+    for r in rows:
+        by.setdefault((r.doc_id, r.doc_tokens), []).append(r)
+        seq.setdefault(r.sequence_id, []).append(r)
+    assert len(by) == len(texts) + 1
+    for (i, n), ps in by.items():
+        if (i, n) == (3, 2) and len(ids[3]) != 2:
+            continue
+        at = 0
+        for p in sorted(ps, key=lambda p: p.start):
+            assert p.start == at and n == len(ids[i])
+            assert zlib.crc32(ids[i][at : at + p.length].tobytes()) == p.ids_crc32
+            at += p.length
+        assert at == n
+    pad = 0
+    for ps in seq.values():
+        at = 0
+        for p in sorted(ps, key=lambda p: p.offset):
+            assert p.offset == at
+            at += p.length
+        assert at <= 4096
+        pad += 0 if at & (at - 1) == 0 else 4096 - at
+    assert pad <= 4096
+    assert op8.pack(df.limit(0), path).count() == 0
+
+
+# 9: lines
+
+
+def test_line_dedup(spark):
+    line, other = "A line that stands on every site.", "A line of few sites, as it seems."
+    rows = [(i, f"own text number {i}\n  {line} \n\nshort\n{other if i < 4 else 'x' * 20}", "en", f"s{i}") for i in range(8)]
+    rows += [(20, None, "en", "s1"), (21, "", "en", None), (22, line, "en", None), (9, f"{line}\n{line}", "en", "s1")]
+    extra = docs_of(spark, rows).withColumn("n_lines", F.lit("old")).withColumn("h1", F.lit(1))
+    got = {r.doc_id: r for r in op9.without_boilerplate(extra, sites=5).collect()}
+    assert len(got) == len(rows)
+    # other is on four sites and stays everywhere; so do the twenty x, on four sites too
+    assert line in got[0].text and all(other in got[i].text for i in range(4)) and all("x" * 20 in got[i].text for i in range(4, 8))
+    assert line not in got[1].text and got[1].n_removed == 1 and got[1].text.startswith("own text number 1\n\nshort")
+    assert (got[9].text, got[9].n_lines, got[9].n_removed) == ("", 2, 2)
+    assert (got[20].text, got[20].n_lines, got[20].n_removed) == (None, 0, 0)
+    assert (got[21].text, got[22].text) == ("", "")
+    assert op9.without_boilerplate(docs_of(spark, [])).count() == 0
+
+
+# 10: lists
+
+
+def test_url_filters(spark):
+    e = spark.createDataFrame([("bad.com", "2024-01-10", "block"), ("bad.com", "2024-02-01", "remove"), ("ok.bad.com", "2024-01-01", "allow"), ("x.org", "2024-01-05", "allow"), ("x.org", "2024-01-05", "block"), (None, "2024-01-01", "block"), ("y.org", None, "block"), ("z.org", "2024-01-01", "odd")], "pattern string, d string, action string")
+    e = e.select("pattern", F.col("d").cast("date").alias("listed_on"), "action")
+    c = [(1, "http://bad.com/a", "2024-01-09"), (2, "http://www.BAD.com:80/a", "2024-01-10"), (3, "https://u@a.ok.bad.com", "2024-01-20"), (4, "http://bad.com", "2024-02-01"), (5, "http://x.org/", "2024-03-01"), (6, None, "2024-03-01"), (7, "nothing", "2024-03-01"), (8, "http://notbad.com", "2024-01-20"), (9, "http://bad.com", None), (None, "http://bad.com", "2024-01-31")]
+    c = spark.createDataFrame(c, "page_id long, url string, d string").select("page_id", "url", F.col("d").cast("date").alias("fetched_on"))
+    got = {r.page_id: (r.verdict, r.pattern) for r in op10.url_verdicts(c, e).collect()}
+    none = ("none", None)
+    assert got == {1: none, 2: ("block", "bad.com"), 3: ("allow", "ok.bad.com"), 4: none, 5: ("block", "x.org"), 6: none, 7: none, 8: none, 9: none, None: ("block", "bad.com")}
+    assert op10.url_verdicts(c.limit(0), e).count() == 0
+    assert {r.verdict for r in op10.url_verdicts(c, e.limit(0)).collect()} == {"none"}
+
+
+# queries
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_query_against_sql(spark, folder, name):
+    import duckdb
+
+    con = duckdb.connect()
+    for t in ("documents", "pages", "conversations"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{folder}/{t}.parquet'")
+    want = con.execute(SQL[name])
+    columns = [c[0] for c in want.description]
+    got = QUERIES[name](spark, folder).select(*columns)
+    key = lambda rows: sorted(map(repr, (tuple(r) for r in rows)))
+    assert key(got.collect()) == key(want.fetchall())
+
+
+def test_pipeline(spark, folder):
+    import corpus_pipeline as cp
+
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    seen = [docs]
+    for _, stage in cp.STAGES:
+        out = stage(spark, seen[-1], folder)
+        if len(seen) < len(cp.STAGES):
+            assert out.columns == docs.columns
+        seen.append(spark.createDataFrame(out.toPandas().to_dict("records"), out.schema))
+    counts = [x.count() for x in seen]
+    assert counts[0] >= counts[1] >= counts[2] >= counts[3] == counts[4] > 0
+    final = [(r.doc_id, r.text) for r in seen[4].collect()]
+    assert not [i for i, t in final if brute_spans(t)]
+    assert all(n == 0 for n, _ in brute_jaccard(final).values())
+    assert {r.doc_id for r in seen[5].select("doc_id").distinct().collect()} == {i for i, _ in final}
