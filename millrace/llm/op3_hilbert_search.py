@@ -60,10 +60,10 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, curves: int = CU
     """Each query's ``k`` nearest vectors by cosine: ``(vec_id, embedding)`` twice -> query_id, rank, vec_id, score.
 
     Equal vectors become one candidate that keeps its k + 1 smallest ids. Candidates are range-
-    partitioned by key on each of ``curves`` shifted Hilbert curves into blocks of about
-    ``BLOCK_ROWS`` rows; a query visits the blocks that hold the ``share`` of all rows around its own
-    key, is compared there by cosine in double precision, and the blocks' top lists merge. Blocks
-    stream: one block and one batch of queries are in memory at a time.
+    partitioned by key on each of ``curves`` shifted Hilbert curves, together with the queries, into
+    blocks of about ``BLOCK_ROWS`` rows; a query visits its own block and those around it that make
+    up the ``share`` of its curve, is compared there by cosine in double precision, and the blocks'
+    top lists merge. Blocks stream: one block and one batch of queries are in memory at a time.
 
     The share is a fraction of the table and not a row count, because isotropic vectors (whose
     nearest cosine lies near 0.45 in 64 dimensions) have no locality that a fixed window could use:
@@ -94,24 +94,16 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, curves: int = CU
 
     shape = f"curve int, dim int, key long, id long, embedding {kind}"
     blocks = max(1, -(-n * curves // BLOCK_ROWS))
-    placed = distinct.select(F.col("rep").alias("id"), "embedding").mapInArrow(keyed, shape)
-    placed = placed.repartitionByRange(blocks, "dim", "curve", "key", "id").withColumn("block", F.spark_partition_id().cast("long"))
+    cand = distinct.select(F.col("rep").alias("id"), "embedding").mapInArrow(keyed, shape).withColumn("side", F.lit(0))
+    ask = asked.select(F.col("vec_id").alias("id"), "embedding").mapInArrow(keyed, shape).withColumn("side", F.lit(1))
+    placed = cand.union(ask).repartitionByRange(blocks, "dim", "curve", "key", "id").withColumn("block", F.spark_partition_id())
     placed = written(placed, "placed")
-    # each curve's blocks with the number of rows before them; a query's place is where its key falls
-    spans = placed.groupBy("dim", "curve", "block").agg(F.count("*").alias("n"), F.min("key").alias("low"))
-    order = W.partitionBy("dim", "curve").orderBy("block")
-    spans = spans.withColumns({"before": F.sum("n").over(order) - F.col("n"), "total": F.sum("n").over(W.partitionBy("dim", "curve")), "next": F.lead("low").over(order)})
-    spans = written(spans, "spans")
-    at = asked.select(F.col("vec_id").alias("id"), "embedding").mapInArrow(keyed, shape)
-    # half a window either side of the middle of the query's own block, and that block whole
-    home = at.join(F.broadcast(spans) if blocks <= 50_000 else spans, ["dim", "curve"]).where("(before = 0 OR key >= low) AND (next IS NULL OR key < next OR (key = next AND before = 0))")
-    home = home.groupBy("dim", "curve", "id").agg(F.min("before").alias("s"), F.max(F.col("before") + F.col("n")).alias("e"), F.max("total").alias("total"))
-    half = F.col("total") * F.lit(share / 2)
-    middle = (F.col("s") + F.col("e")) / 2
-    home = home.select("dim", "curve", "id", F.least("s", middle - half).alias("s"), F.greatest("e", middle + half).alias("e"))
-    reach = home.join(spans.select("dim", "curve", "block", "before", "n"), ["dim", "curve"]).where("before < e AND before + n > s").select("id", "block").distinct()
-    visits = reach.join(asked.withColumnRenamed("vec_id", "id"), "id").select("block", F.lit(1).alias("side"), "id", "embedding")
-    both = placed.select("block", F.lit(0).alias("side"), "id", "embedding").dropDuplicates(["block", "id"]).union(visits)
+    # a query visits its own block and, on either side, those of half the share of its curve's blocks
+    spans = placed.groupBy("dim", "curve").agg(F.min("block").alias("lo"), F.max("block").alias("hi"))
+    half = F.ceil((F.col("hi") - F.col("lo") + 1) * F.lit(share / 2)).cast("int")
+    reach = F.sequence(F.greatest("lo", F.col("block") - half), F.least("hi", F.col("block") + half))
+    visits = placed.where("side = 1").join(spans, ["dim", "curve"]).select(F.explode(reach).alias("block"), "side", "id", "embedding")
+    both = placed.where("side = 0").select("block", "side", "id", "embedding").union(visits)
 
     def search(batches):
         rows: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -120,7 +112,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, curves: int = CU
             block, side = t.column("block")[0].as_py(), t.column("side")[0].as_py()
             id_ = t.column("id").to_numpy()
             if side == 0:
-                now, rows = block, {d: (id_[r], u) for d, r, u in by_length(t.column("embedding"))}
+                once = np.unique(id_, return_index=True)[1]  # a block on the border of two curves may hold a row twice
+                now, rows = block, {d: (id_[once][r], u) for d, r, u in by_length(t.column("embedding").take(pa.array(once)))}
                 continue
             if block != now:
                 continue
