@@ -42,12 +42,12 @@ def _words(code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return turn[::2], turn[1::2]
 
 
-def blocks(texts: list[str | None]) -> Iterator[tuple[int, list[str]]]:
-    """(first row, texts) of blocks of about BLOCK_CHARS characters; null is empty."""
+def blocks(texts: list[str | None], chars: int = BLOCK_CHARS) -> Iterator[tuple[int, list[str]]]:
+    """(first row, texts) of blocks of about ``chars`` characters; null is empty."""
     first, held, size = 0, [], 0
     for i, t in enumerate(texts):
         t = t or ""
-        if held and size + len(t) > BLOCK_CHARS:
+        if held and size + len(t) > chars:
             yield first, held
             first, held, size = i, [], 0
         held.append(t)
