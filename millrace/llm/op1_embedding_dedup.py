@@ -1,4 +1,6 @@
-"""Embedding near-duplicates by sorted projection passes."""
+"""Embedding near-duplicates by random hashes, with a recall that is set beforehand."""
+
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -6,15 +8,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.pairing import group_links
-from millrace.llm.streams import forest, lists
+from millrace.llm.streams import forest, lists, runs
 from millrace.plans.graph import connected_components
 from millrace.plans.work import written
 from millrace.sources import table
 
-#: Sorted orders; hashes that make up a sort key; rows compared after each row.
-PASSES, HASHES, WINDOW = 12, 4, 24
-#: Rows of one comparison task, and of a range partition in a sorted pass.
-BLOCK, RANGE_ROWS = 256, 50_000
+#: Least chance that two vectors at exactly the threshold are compared; most hashes of a key.
+RECALL, HASHES = 0.99, 6
+#: Rows of a block in a bucket of one key; rows up to which a bucket is not dealt in blocks.
+FACING, SMALL = 2048, 32
+#: Distinct vectors of one length up to which all pairs are compared, without hashes.
+ALL_PAIRS = 16_384
+#: Rows of a block of an exact count.
+BLOCK = 256
 
 
 def usable(vector: str = "embedding"):
@@ -54,81 +60,151 @@ _turns: dict[tuple[int, int], np.ndarray] = {}
 
 def _rotation(d: int, seed: int) -> np.ndarray:
     if (d, seed) not in _turns:
-        if len(_turns) > 4 * PASSES * HASHES:
+        if sum(m.nbytes for m in _turns.values()) > 1 << 28:
             _turns.clear()
         _turns[d, seed] = np.linalg.qr(np.random.default_rng([seed, d]).standard_normal((d, d)))[0]
     return _turns[d, seed]
 
 
-def embedding_links(vectors: DataFrame, threshold: float = 0.9, passes: int = PASSES, window: int = WINDOW, seed: int = 17) -> DataFrame:
+def agreement(threshold: float, d: int, seed: int) -> float:
+    """The chance, less two standard errors, that vectors at exactly ``threshold`` share a hash.
+
+    It depends on their angle alone, whatever the other vectors are, as rotations are uniform.
+    """
+    if d == 1:
+        return 1.0
+    draws = max(1000, min(20_000, 4_000_000 // d))
+    rng = np.random.default_rng([seed, d, 1])
+    x, y = (rng.standard_normal((draws, d)) for _ in range(2))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    y -= np.einsum("ij,ij->i", x, y)[:, None] * x
+    y = threshold * x + (1 - threshold**2) ** 0.5 * y / np.linalg.norm(y, axis=1)[:, None]
+    p = float((hash_codes(x, seed) == hash_codes(y, seed)).mean())
+    return max(p - 2 * (p * (1 - p) / draws) ** 0.5, 1e-3)
+
+
+def key_plan(n: int, sample: np.ndarray, threshold: float, recall: float, seed: int) -> tuple[int, int]:
+    """(hashes of a key, passes) of the least estimated work that meets ``recall``; (0, 1) is all pairs.
+
+    A pair at the threshold shares a key of h hashes in a pass with chance p ** h, so passes follow
+    from ``recall``. How many pairs share one by chance, hot keys included, is measured on a sample.
+    """
+    d = sample.shape[1]
+    draws = 24
+    agree = np.zeros((len(sample), len(sample)), np.int64)
+    for r in range(draws):
+        code = hash_codes(sample, seed + 1_000_000 + r)
+        agree += code[:, None] == code
+    times = np.bincount(agree[np.triu_indices(len(sample), 1)], minlength=draws + 1)
+    p = agreement(threshold, d, seed)
+    best = (math.inf, 0, 1)
+    for h in range(HASHES + 1):
+        shared = sum(float(c) * math.comb(a, h) for a, c in enumerate(times)) / max(times.sum(), 1) / math.comb(draws, h)
+        passes = 1 if h == 0 or p**h >= recall else math.ceil(math.log(1 - recall) / math.log(1 - p**h))
+        # seconds: a row in a pass and in each block it faces, its rotations, and a comparison
+        row = 1e-5 * (1 + n * shared / FACING) + 2e-10 * d * d * h
+        best = min(best, (passes * (n * row + n * n / 2 * shared * (2e-9 + 1.5e-10 * d)), h, passes))
+    return best[1:]
+
+
+def embedding_links(vectors: DataFrame, threshold: float = 0.9, recall: float = RECALL, seed: int = 17) -> DataFrame:
     """Near-duplicate vectors: ``vectors(vec_id long, embedding array)`` -> one row per vector.
 
     1. Equal vectors become one class with a count, so copies cost nothing further.
-    2. In each of ``passes`` orders, classes are range-sorted by ``HASHES`` concatenated random
-       hashes and each is compared with the ``window`` classes after it, by cosine in double
-       precision; a partition's links leave it as a spanning forest.
+    2. All classes that share a key are compared with one another, by cosine in double precision; a
+       key is some concatenated random hashes, drawn anew in each pass. How many hashes and passes
+       follows from the number of classes of a vector length and the share of pairs that hot keys
+       hold (``key_plan``); up to ``ALL_PAIRS`` classes there is no hash and all pairs meet. Small buckets are
+       compared along the sorted partition, larger ones in pairs of blocks: none is cut.
     3. Connected components over all passes.
     4. Every vector's links are then counted exactly within its component. In a component above
        ``BLOCK`` rows, rows within half the threshold angle of the mean direction are linked with
        one another by the triangle inequality and need no comparison; the rest are compared in
        blocks. A group holding a third of the rows thus costs linear work when it is tight.
 
-    Recall is that of components: two linked vectors must meet, directly or through others, in some
-    window. A window ends at its range partition; another pass cuts elsewhere. Precision is exact.
+    Any two vectors at exactly ``threshold`` are compared with a chance of at least ``recall``, and
+    nearer ones with a higher one, whatever the size of the table and the vectors around them; with
+    few vectors, always. Linked vectors also meet through others. Precision is exact.
 
     Null, zero, empty, and non-finite vectors link with nothing and are their own component, and so
     do vectors of different lengths. Repeated ``vec_id`` rows stay repeated rows. A null ``vec_id``
     yields a row with zero links, a null component and kept false. Other columns are ignored. An
     empty table gives no rows. Columns: vec_id, n_links, component_id, kept.
     """
-    spark = vectors.sparkSession
     v = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding"))
     ok = v.where(usable() & F.col("vec_id").isNotNull())
     classes = written(ok.groupBy("embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("weight")), "classes")
-    n = classes.count()
+    kind = classes.schema["embedding"].dataType.simpleString()
     rad = np.arccos(threshold)
+    plan: dict[int, tuple[int, int]] = {}
+    for d, n in classes.groupBy(F.size("embedding")).count().collect():
+        plan[d] = (0, 1)
+        if n > ALL_PAIRS:
+            some = classes.where(F.size("embedding") == d).orderBy(F.xxhash64("rep"), "rep").limit(1000).select("embedding").toArrow()
+            plan[d] = key_plan(n, by_length(some.column(0))[0][2], threshold, recall, seed)
 
     def keys(batches):
         for b in batches:
             rep, emb = b.column(b.schema.get_field_index("rep")), b.column(b.schema.get_field_index("embedding"))
             for d, rows, unit in by_length(emb):
-                base = 2 * d
-                take = pa.array(rows)
+                hashes, passes = plan[d]
+                own = rep.take(pa.array(rows))
                 for p in range(passes):
                     key = np.zeros(len(rows), np.int64)
-                    for h in range(HASHES):
-                        key = key * base % (1 << 62) + hash_codes(unit, seed + p * HASHES + h)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), p, np.int32)), pa.array(np.full(len(rows), d, np.int32)), pa.array(key), rep.take(take), emb.take(take)], ["pass", "dim", "key", "rep", "embedding"])
-
-    kind = classes.schema["embedding"].dataType.simpleString()
-    passed = classes.select("rep", "embedding").mapInArrow(keys, f"pass int, dim int, key long, rep long, embedding {kind}")
-
-    def windows(batches):
-        """Links of sorted rows with the rows after them, as a forest over the partition."""
-        tail: dict = {"ids": np.empty(0, np.int64), "unit": None, "sort": None}
-        number: dict[int, int] = {}
+                    for h in range(hashes):
+                        key = key * (2 * d) % (1 << 50) + hash_codes(unit, seed + p * HASHES + h)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), p, np.int32)), pa.array(np.full(len(rows), d, np.int32)), pa.array(key), own], ["pass", "dim", "key", "rep"])
+
+    coded = classes.select("rep", "embedding").mapInArrow(keys, "pass int, dim int, key long, rep long")
+    coded = written(coded.select(F.xxhash64("pass", "dim", "key").alias("gid"), "rep"), "codes")
+    sizes = written(coded.groupBy("gid").count().where("count > 1"), "bucket-sizes")
+    bodies = classes.select("rep", "embedding")
+
+    def alongside(batches):
+        """Links within the buckets of a sorted partition, each row with those after it, as a forest."""
+        tail: dict = {}
         left: list[int] = []
         right: list[int] = []
         for b in batches:
-            p, dim, ids = (b.column(b.schema.get_field_index(c)).to_numpy() for c in ("pass", "dim", "rep"))
-            group = p.astype(np.int64) << 32 | dim
+            ids, gid = (b.column(b.schema.get_field_index(c)).to_numpy() for c in ("rep", "gid"))
             for d, rows, unit in by_length(b.column(b.schema.get_field_index("embedding"))):
-                own, g = ids[rows], group[rows]
-                if tail["unit"] is not None and tail["unit"].shape[1] == d:
-                    own, g, unit = np.concatenate([tail["ids"], own]), np.concatenate([tail["sort"], g]), np.concatenate([tail["unit"], unit])
-                for w in range(1, min(window, len(own) - 1) + 1):
-                    hit = np.flatnonzero((np.einsum("ij,ij->i", unit[:-w], unit[w:]) >= threshold) & (g[:-w] == g[w:]))
-                    left += own[hit].tolist()
-                    right += own[hit + w].tolist()
-                tail = {"ids": own[-window:], "unit": unit[-window:], "sort": g[-window:]}
+                own, g = ids[rows], gid[rows]
+                if d in tail:
+                    own, g, unit = (np.concatenate(x) for x in zip(tail[d], (own, g, unit), strict=True))
+                for w in range(1, min(SMALL, len(own))):
+                    i = np.flatnonzero(g[:-w] == g[w:])
+                    if not len(i):
+                        break
+                    i = i[np.einsum("ij,ij->i", unit[i], unit[i + w]) >= threshold]
+                    left += own[i].tolist()
+                    right += own[i + w].tolist()
+                tail[d] = own[-SMALL:], g[-SMALL:], unit[-SMALL:]
             if len(left) > 500_000:
                 left, right = _spanned(left, right)
-        left, right = _spanned(left, right)
-        for s in range(0, len(left), 100_000):
-            yield pa.RecordBatch.from_arrays([pa.array(left[s : s + 100_000], pa.int64()), pa.array(right[s : s + 100_000], pa.int64())], ["u", "v"])
-
-    parts = max(spark.sparkContext.defaultParallelism, -(-n * passes // RANGE_ROWS))
-    edges = passed.repartitionByRange(parts, "pass", "dim", "key", "rep").sortWithinPartitions("pass", "dim", "key", "rep").mapInArrow(windows, "u long, v long")
+        yield from _edges(*_spanned(left, right))
+
+    def facing(batches):
+        """Links between two blocks of a bucket, as a forest."""
+        for t in runs(batches, ["gid", "a", "b"]):
+            ids, own = t.column("rep").to_numpy(), t.column("own").to_numpy()
+            a, b = t.column("a")[0].as_py(), t.column("b")[0].as_py()
+            for _, rows, unit in by_length(t.column("embedding")):
+                i, j = np.flatnonzero(own[rows] == a), np.flatnonzero(own[rows] == b)
+                if not len(i) or not len(j):
+                    continue
+                hit = unit[i] @ unit[j].T >= threshold
+                if a == b:
+                    hit = np.triu(hit, 1)
+                x, y = _thinned(hit)
+                yield from _edges(*_spanned(ids[rows][i[x]].tolist(), ids[rows][j[y]].tolist()))
+
+    low = coded.join(sizes.where(F.col("count") <= SMALL).select("gid"), "gid").join(bodies, "rep")
+    edges = low.select("gid", "rep", "embedding").repartition("gid").sortWithinPartitions("gid").mapInArrow(alongside, "u long, v long")
+    high = coded.join(sizes.where(F.col("count") > SMALL).select("gid", F.ceil(F.col("count") / FACING).cast("int").alias("blocks")), "gid")
+    high = high.withColumn("own", F.pmod(F.xxhash64("rep"), "blocks").cast("int")).select("gid", "rep", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    high = high.select("gid", F.greatest("own", "other").alias("a"), F.least("own", "other").alias("b"), "own", "rep").join(bodies, "rep")
+    high = high.select("gid", "a", "b", "own", "rep", "embedding").repartition("gid", "a", "b").sortWithinPartitions("gid", "a", "b")
+    edges = edges.union(high.mapInArrow(facing, "u long, v long"))
     found = written(connected_components(edges), "components")
 
     members = written(classes.join(found, F.col("rep") == F.col("node")).select(F.col("component").alias("gid"), F.col("rep").alias("id"), "weight", "embedding"), "members")
@@ -173,6 +249,29 @@ def embedding_links(vectors: DataFrame, threshold: float = 0.9, passes: int = PA
     return good.union(bad).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
 
 
+def _thinned(hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of ``hit`` that join the same rows and columns as all of them."""
+    if np.count_nonzero(hit) <= 8 * sum(hit.shape):
+        return np.nonzero(hit)
+    claim = np.full(hit.shape[1], -1)
+    rows, cols = [], []
+    for i in np.flatnonzero(hit.any(1)).tolist():
+        at = np.flatnonzero(hit[i])
+        # columns that an earlier row has are joined already: one of each such row is enough
+        old = at[claim[at] >= 0]
+        at = at[claim[at] < 0]
+        some = np.concatenate([at, old[np.unique(claim[old], return_index=True)[1]]])
+        claim[at] = i
+        rows.append(np.full(len(some), i))
+        cols.append(some)
+    return np.concatenate(rows), np.concatenate(cols)
+
+
+def _edges(left: list[int], right: list[int]):
+    for s in range(0, len(left), 100_000):
+        yield pa.RecordBatch.from_arrays([pa.array(left[s : s + 100_000], pa.int64()), pa.array(right[s : s + 100_000], pa.int64())], ["u", "v"])
+
+
 def _spanned(left: list[int], right: list[int]) -> tuple[list[int], list[int]]:
     if not left:
         return [], []

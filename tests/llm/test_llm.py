@@ -84,6 +84,29 @@ def test_embedding_links_in_a_large_cone(spark, monkeypatch):
     assert got == brute_links(rows)
 
 
+def test_embedding_links_of_isolated_pairs_in_a_hot_cone(spark):
+    """Pairs at cosine 0.9 that nothing else joins, half of them in a cone of a third of 60,000 rows."""
+    import pandas as pd
+
+    rng = np.random.default_rng(6)
+    unit = lambda m: m / np.linalg.norm(m, axis=-1, keepdims=True)
+
+    def pairs(n, cosine):
+        x, y = unit(rng.standard_normal((n, 63))), rng.standard_normal((n, 63))
+        y = unit(y - (x * y).sum(1)[:, None] * x)
+        return np.stack([x, cosine * x + (1 - cosine**2) ** 0.5 * y], 1).reshape(-1, 63)
+
+    inside = lambda r: np.concatenate([np.full((len(r), 1), 0.75**0.5), 0.5 * r], 1)  # mutual cosine 0.75
+    outside = lambda r: np.concatenate([np.zeros((len(r), 1)), r], 1)
+    m = np.concatenate([inside(pairs(300, 0.601)), outside(pairs(300, 0.9003)), inside(unit(rng.standard_normal((19_400, 63)))), outside(unit(rng.standard_normal((39_400, 63))))])
+    v = spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(len(m)), "embedding": list(m.astype(np.float32))}))
+    hashes, passes = op1.key_plan(len(m), m[rng.permutation(len(m))[:1000]], 0.9, op1.RECALL, 17)
+    assert hashes > 0 and 1 - (1 - op1.agreement(0.9, 64, 17) ** hashes) ** passes >= op1.RECALL
+    got = {r.vec_id: r.component_id for r in op1.embedding_links(v).where("vec_id < 1200").collect()}
+    for s in (0, 600):
+        assert np.mean([got[i] == got[i + 1] for i in range(s, s + 600, 2)]) >= 0.97
+
+
 # 2: n-gram Jaccard
 
 
