@@ -131,7 +131,12 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, curves: int = CU
                     yield pa.RecordBatch.from_arrays([pa.array(id_[s : s + 1024][r][i]), pa.array(cand[j]), pa.array(score[i, j])], ["query_id", "rep", "near"])
 
     found = both.repartition("block").sortWithinPartitions("block", "side").mapInArrow(search, "query_id long, rep long, near double").select("query_id", "rep", "near")
-    found = found.distinct().withColumn("r", F.rank().over(W.partitionBy("query_id").orderBy(F.desc("near")))).where(F.col("r") <= k + 1)
+    # a pair met in several blocks is one, though its product may differ in the last bits from block to block
+    found = found.groupBy("query_id", "rep").agg(F.max("near").alias("near"))
+    asks = W.partitionBy("query_id")
+    found = found.withColumn("r", F.row_number().over(asks.orderBy(F.desc("near"))))
+    # what ties with the last slot within rounding stays, as it does in a block
+    found = found.withColumn("last", F.min(F.when(F.col("r") <= k + 1, F.col("near"))).over(asks)).where(F.col("near") >= F.col("last") - 1e-12)
     reps = distinct.select("rep", "ids", F.col("embedding").alias("_v"))
     full = found.select("query_id", "rep").join(reps, "rep").join(asked.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("_q")), "query_id")
     full = full.select("query_id", F.explode("ids").alias("vec_id"), cosine("_q", "_v").alias("score")).where("query_id <> vec_id")

@@ -197,6 +197,17 @@ def test_nearest(spark):
     assert op3.nearest(vectors(spark, []), vectors(spark, [])).count() == 0
 
 
+def test_nearest_meets_no_vector_twice(spark, monkeypatch):
+    """Blocks of many shapes, whose products of one pair differ in the last bits."""
+    monkeypatch.setattr(op3, "BLOCK_ROWS", 150)
+    rng = np.random.default_rng(9)
+    v = vectors(spark, [(i, x.tolist(), 0) for i, x in enumerate(rng.standard_normal((3000, 61)).astype(np.float32))])
+    got = {}
+    for r in op3.nearest(v, v.where("vec_id % 60 = 0")).collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    assert len(got) == 50 and all(len(set(x)) == len(x) == 5 for x in got.values())
+
+
 # 4: language
 
 
