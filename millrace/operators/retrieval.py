@@ -149,7 +149,8 @@ def _vectors(s, d):
 def q_retrieve(s, d):
     v = _vectors(s, d)
     docs = v.where("vec_id % 2 = 1").select(F.col("vec_id").alias("doc_id"), "embedding")
-    ask = [v.where(f"vec_id % 100 = 0 AND label % 2 = {c}").select(F.col("vec_id").alias("query_id"), "embedding") for c in (0, 1)]
+    channel = F.coalesce(F.pmod("label", F.lit(2)), F.lit(0))  # every query has one, without a label too
+    ask = [v.where((F.col("vec_id") % 100 == 0) & (channel == c)).select(F.col("vec_id").alias("query_id"), "embedding") for c in (0, 1)]
     return retrieve(ask, docs, 10, 0.4)
 
 

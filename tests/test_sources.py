@@ -117,6 +117,13 @@ def test_vectors(spark):
     assert abs(sum(x * x for x in got[0].embedding) - 1) < 1e-6 and got[1].embedding is None
 
 
+def test_retrieval_of_queries_without_label(spark, tmp_path):
+    rows = [(0, 2, [1.0, 0.0]), (100, None, [0.0, 1.0]), (200, -1, [1.0, 1.0]), (1, 1, [1.0, 0.1]), (3, None, [0.1, 1.0])]
+    spark.createDataFrame(rows, "vec_id long, label int, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    got = {(r.query_id, r.doc_id) for r in retrieval.q_retrieve(spark, str(tmp_path)).collect()}
+    assert got == {(q, d) for q in (0, 100, 200) for d in (1, 3)}
+
+
 def test_lede_and_templates(spark):
     r = spark.createDataFrame([("a\n\nb", "{b}", "z")], "t string, a string, b string").select(text.lede("t", 10).alias("l"), text.lede(F.lit("abcdef"), 3, "...").alias("c"), text.fill("{a}{b}", a="a", b="b").alias("f"), text.truncate_words(F.lit("a  b c"), 2).alias("w")).first()
     assert tuple(r) == ("a", "abc...", "zz", "a  b ")
