@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.pairing import group_links
 from millrace.llm.streams import forest, lists, runs
-from millrace.plans.graph import connected_components
+from millrace.plans.graph import connected_components, thinned
 from millrace.plans.work import written
 from millrace.sources import table
 
@@ -195,7 +195,7 @@ def embedding_links(vectors: DataFrame, threshold: float = 0.9, recall: float =
                 hit = unit[i] @ unit[j].T >= threshold
                 if a == b:
                     hit = np.triu(hit, 1)
-                x, y = _thinned(hit)
+                x, y = thinned(hit)
                 yield from _edges(*_spanned(ids[rows][i[x]].tolist(), ids[rows][j[y]].tolist()))
 
     low = coded.join(sizes.where(F.col("count") <= SMALL).select("gid"), "gid").join(bodies, "rep")
@@ -249,24 +249,6 @@ def embedding_links(vectors: DataFrame, threshold: float = 0.9, recall: float =
     return good.union(bad).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
 
 
-def _thinned(hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of ``hit`` that join the same rows and columns as all of them."""
-    if np.count_nonzero(hit) <= 8 * sum(hit.shape):
-        return np.nonzero(hit)
-    claim = np.full(hit.shape[1], -1)
-    rows, cols = [], []
-    for i in np.flatnonzero(hit.any(1)).tolist():
-        at = np.flatnonzero(hit[i])
-        # columns that an earlier row has are joined already: one of each such row is enough
-        old = at[claim[at] >= 0]
-        at = at[claim[at] < 0]
-        some = np.concatenate([at, old[np.unique(claim[old], return_index=True)[1]]])
-        claim[at] = i
-        rows.append(np.full(len(some), i))
-        cols.append(some)
-    return np.concatenate(rows), np.concatenate(cols)
-
-
 def _edges(left: list[int], right: list[int]):
     for s in range(0, len(left), 100_000):
         yield pa.RecordBatch.from_arrays([pa.array(left[s : s + 100_000], pa.int64()), pa.array(right[s : s + 100_000], pa.int64())], ["u", "v"])

@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.plans.graph import connected_components
+from millrace.plans.graph import connected_components, thinned
 from millrace.plans.ship import ship
+from millrace.plans.work import written
 from millrace.sources import table
 
 
@@ -108,37 +109,76 @@ def shard(df: DataFrame, order: str, index: int, total: int) -> DataFrame:
     return r.where(F.floor(F.col("_r") / F.col("_size")) == index).drop("_r", "_size")
 
 
-def event_clusters(vectors: DataFrame, days: int = 3, k: int = 10, least: float = 0.55) -> DataFrame:
+#: Rows of a block of documents in a window.
+FACING = 2048
+
+
+def event_clusters(vectors: DataFrame, days: int = 3, k: int = 30, least: float = 0.55) -> DataFrame:
     """``vectors(doc_id, day date, embedding)`` -> ``doc_id, cluster_id``: a design of our own.
 
     Windows of ``days`` days, one day apart, each link a document to its k most similar documents of
-    the window with similarity at least ``least``; a pair that lists one another is an edge, and
-    clusters are connected components over all windows. Windows are compared in blocks of rows by
-    day, so work grows with documents a window.
+    the window with similarity at least ``least``; a pair that lists one another in a window is an
+    edge, and clusters are connected components over all windows. Equal vectors of a window are one
+    document in this and share its cluster; all that tie with the k-th, to 6 decimals, are listed.
+    Documents without an edge are not returned, nor are those whose vector is zero or not finite.
+
+    A window's distinct vectors are dealt into blocks of about ``FACING`` rows and a pair of blocks
+    is a task: once for the k-th similarity of each, once for the edges, as a forest. Work grows
+    with the square of the distinct documents of a window.
     """
     spark = vectors.sparkSession
     ship(spark)
-    v = vectors.where("doc_id IS NOT NULL AND day IS NOT NULL AND embedding IS NOT NULL")
-    w = v.select("doc_id", "embedding", F.explode(F.transform(F.sequence(F.lit(0), F.lit(days - 1)), lambda i: F.date_sub("day", i))).alias("window"))
+    finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    v = vectors.where("doc_id IS NOT NULL AND day IS NOT NULL AND embedding IS NOT NULL").where(finite & F.exists("embedding", lambda x: x != 0))
+    w = v.select("doc_id", "embedding", F.explode(F.transform(F.sequence(F.lit(0), F.lit(days - 1)), lambda i: F.unix_date(F.date_sub("day", i)))).alias("window"))
+    nodes = written(w.groupBy("window", "embedding").agg(F.min("doc_id").cast("long").alias("id")), "event-nodes")
+    copies = w.join(nodes, ["window", "embedding"]).where("doc_id <> id").select(F.col("id").alias("u"), F.col("doc_id").cast("long").alias("v"))
+    sizes = nodes.groupBy("window").agg(F.ceil(F.count("*") / FACING).cast("int").alias("blocks"))
+
+    def dealt(n: DataFrame) -> DataFrame:
+        n = n.join(sizes, "window").withColumn("own", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+        n = n.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        return n.withColumns({"a": F.greatest("own", "other"), "b": F.least("own", "other")}).drop("blocks", "other").groupBy("window", "a", "b")
+
+    def facing(key, pdf):
+        """Rows of both blocks and their similarities; of a block with itself, -2 on the diagonal."""
+        m = np.stack(pdf.embedding.to_numpy()).astype(np.float64)
+        m /= np.abs(m).max(1, keepdims=True)
+        m /= np.linalg.norm(m, axis=1, keepdims=True)
+        own = pdf.own.to_numpy()
+        i, j = np.flatnonzero(own == key[1]), np.flatnonzero(own == key[2])
+        sim = np.round(m[i] @ m[j].T, 6)
+        if key[1] == key[2]:
+            np.fill_diagonal(sim, -2)
+        return i, j, sim
+
+    def nearest(key, pdf):
+        import pandas as pd
 
-    def near(key, pdf):
+        i, j, sim = facing(key, pdf)
+        sides = [(i, sim)] if key[1] == key[2] else [(i, sim), (j, sim.T)]
+        ids, parts = pdf.id.to_numpy(), []
+        for at, x in sides:
+            some = min(k, x.shape[1])
+            if some:
+                parts.append(pd.DataFrame({"window": key[0], "id": ids[at], "sims": list(-np.partition(-x, some - 1, axis=1)[:, :some])}))
+        return pd.concat(parts) if parts else pd.DataFrame({"window": [], "id": [], "sims": []})
+
+    near = dealt(nodes).applyInPandas(nearest, "window int, id long, sims array<double>")
+    kth = F.coalesce(F.try_element_at(F.sort_array(F.flatten(F.collect_list("sims")), asc=False), F.lit(k)), F.lit(-2.0))
+    floors = near.groupBy("window", "id").agg(F.greatest(kth, F.lit(float(least))).alias("floor"))
+    listed = written(nodes.join(floors, ["window", "id"]), "event-floors")
+
+    def edges(key, pdf):
         import pandas as pd
 
-        m = np.stack(pdf.embedding.to_numpy()).astype(np.float64)
-        m /= np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-12)
-        ids, rows = pdf.doc_id.to_numpy(), []
-        for s in range(0, len(m), 1024):
-            sim = m[s : s + 1024] @ m.T
-            sim[np.arange(len(sim)), np.arange(s, s + len(sim))] = -2
-            some = np.argsort(-sim, axis=1, kind="stable")[:, :k]
-            i = np.repeat(np.arange(len(sim)), some.shape[1])
-            ok = sim[i, some.ravel()] >= least
-            rows.append(pd.DataFrame({"u": ids[s + i[ok]], "v": ids[some.ravel()[ok]]}))
-        return pd.concat(rows)
-
-    linked = w.groupBy("window").applyInPandas(near, "u long, v long").distinct()
-    both = linked.join(linked.select(F.col("u").alias("v"), F.col("v").alias("u")), ["u", "v"]).where("u < v")
-    found = connected_components(both)
+        i, j, sim = facing(key, pdf)
+        ids, floor = pdf.id.to_numpy(), pdf.floor.to_numpy()
+        hit = sim >= np.maximum(floor[i][:, None], floor[j])
+        x, y = thinned(np.triu(hit, 1) if key[1] == key[2] else hit)
+        return pd.DataFrame({"u": ids[i[x]], "v": ids[j[y]]})
+
+    found = connected_components(dealt(listed).applyInPandas(edges, "u long, v long").union(copies))
     return found.select(F.col("node").alias("doc_id"), F.col("component").alias("cluster_id"))
 
 

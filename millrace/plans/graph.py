@@ -1,5 +1,6 @@
 """Connected components by repeated contraction."""
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,3 +46,21 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         return e.select(F.col("u").alias("node"), F.col("u").alias("component"))
     least = labels.groupBy("root").agg(F.min("node").alias("component"))
     return labels.join(least, "root").select("node", "component")
+
+
+def thinned(hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of ``hit`` that join the same rows and columns as all of them."""
+    if np.count_nonzero(hit) <= 8 * sum(hit.shape):
+        return np.nonzero(hit)
+    claim = np.full(hit.shape[1], -1)
+    rows, cols = [], []
+    for i in np.flatnonzero(hit.any(1)).tolist():
+        at = np.flatnonzero(hit[i])
+        # columns that an earlier row has are joined already: one of each such row is enough
+        old = at[claim[at] >= 0]
+        at = at[claim[at] < 0]
+        some = np.concatenate([at, old[np.unique(claim[old], return_index=True)[1]]])
+        claim[at] = i
+        rows.append(np.full(len(some), i))
+        cols.append(some)
+    return np.concatenate(rows), np.concatenate(cols)

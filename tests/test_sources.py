@@ -117,6 +117,16 @@ def test_vectors(spark):
     assert abs(sum(x * x for x in got[0].embedding) - 1) < 1e-6 and got[1].embedding is None
 
 
+@pytest.mark.parametrize("rows", [2048, 16])
+def test_event_clusters_above_k(spark, monkeypatch, rows):
+    """Equal vectors and ones that tie share a cluster, however many; another event keeps its own."""
+    monkeypatch.setattr(retrieval, "FACING", rows, raising=False)
+    vecs = [[1.0, 0.0, 0.0]] * 200 + [[1.0 + i / 64, 0.0, 0.0] for i in range(1, 100)] + [[0.0, 1.0, i / 1000] for i in range(5)] + [[0.0, 0.0, 0.0]] * 3
+    v = spark.createDataFrame([(i, f"2024-01-0{1 + i % 2}", x) for i, x in enumerate(vecs)], "doc_id long, d string, embedding array<double>").select("doc_id", F.col("d").cast("date").alias("day"), "embedding")
+    want = {i: 0 for i in range(299)} | {i: 299 for i in range(299, 304)}
+    assert {r.doc_id: r.cluster_id for r in retrieval.event_clusters(v).collect()} == want
+
+
 def test_retrieval_of_queries_without_label(spark, tmp_path):
     rows = [(0, 2, [1.0, 0.0]), (100, None, [0.0, 1.0]), (200, -1, [1.0, 1.0]), (1, 1, [1.0, 0.1]), (3, None, [0.1, 1.0])]
     spark.createDataFrame(rows, "vec_id long, label int, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
