@@ -13,6 +13,7 @@ from millrace.llm.op4_language_id import identify
 from millrace.llm.op5_pii import masked
 from millrace.llm.op8_packing import TOKENIZER, pack
 from millrace.llm.op9_line_dedup import without_boilerplate
+from millrace.operators.cleaning import dense_id
 from millrace.plans.ship import ship
 from millrace.plans.work import written
 from millrace.sources import table
@@ -35,10 +36,25 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near-duplicates, the one with the smallest doc_id."""
+    """One row of each class of near-duplicates, the one with the smallest doc_id.
+
+    Every row is judged by its text. Rows with a null doc_id, and all but one row of a repeated
+    doc_id, take part under numbers after all ids: such a row stays if no other is like it. Equal
+    rows of one doc_id are one row.
+    """
     ship(spark)
-    kept = jaccard_classes(docs).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    shared = written(docs.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL").select(F.col("doc_id").alias("_shared")), "shared-ids")
+    same = F.col("doc_id").eqNullSafe(F.col("_shared"))
+    odd = docs.join(shared, same, "left_semi")
+    odd = odd.where("doc_id IS NOT NULL").distinct().union(odd.where("doc_id IS NULL"))
+    odd = dense_id(odd, [F.col("doc_id").asc_nulls_last(), *(c for c in docs.columns if c != "doc_id")], "_n")
+    first = odd.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("_n").alias("_first"))
+    top = docs.agg(F.greatest(F.coalesce(F.max("doc_id"), F.lit(0)), F.lit(0)).cast("long").alias("_top"))
+    odd = odd.join(first, "doc_id", "left").crossJoin(F.broadcast(top))  # one row
+    odd = odd.select(*docs.columns, F.when(F.col("_n") == F.col("_first"), F.col("doc_id")).otherwise(F.col("_top") + 1 + F.col("_n")).alias("_id"))
+    rows = docs.join(shared, same, "left_anti").withColumn("_id", F.col("doc_id")).union(written(odd, "shared-rows"))
+    kept = jaccard_classes(rows.select(F.col("_id").alias("doc_id"), "text")).where("kept").select(F.col("doc_id").alias("_id"))
+    return rows.join(kept, "_id", "left_semi").select(*docs.columns)
 
 
 def personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -434,3 +434,14 @@ def test_pipeline(spark, folder):
     assert not [i for i, t in final if brute_spans(t)]
     assert all(n == 0 for n, _ in brute_jaccard(final).values())
     assert {r.doc_id for r in seen[5].select("doc_id").distinct().collect()} == {i for i, _ in final}
+
+
+def test_pipeline_keeps_rows_without_an_id_of_their_own(spark, folder):
+    import corpus_pipeline as cp
+
+    a, b, c, d, e = (" ".join(f"{w}{i}" for i in range(30)) for w in "abcde")
+    rows = [(1, a), (1, a), (1, b), (2, a), (3, c), (None, c), (None, d), (None, d), (None, None), (4, e), (4, e)]
+    docs = docs_of(spark, [(i, t, "en", "s") for i, t in rows])
+    out = cp.near_duplicates(spark, docs, folder)
+    assert out.columns == docs.columns
+    assert sorted(map(repr, ((r.doc_id, r.text) for r in out.collect()))) == sorted(map(repr, [(1, a), (1, b), (3, c), (None, d), (None, None), (4, e)]))
