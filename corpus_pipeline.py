@@ -29,9 +29,9 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without cross-site boilerplate; a document of which no letter is left goes: all it had stays elsewhere."""
+    """Texts without cross-site boilerplate of any length; a document of which no letter is left goes: all it had stays elsewhere."""
     ship(spark)
-    out = without_boilerplate(docs).where((F.col("n_removed") == 0) | F.col("text").rlike(r"\p{L}"))
+    out = without_boilerplate(docs, chars=1).where((F.col("n_removed") == 0) | F.col("text").rlike(r"\p{L}"))
     return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 

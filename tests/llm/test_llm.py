@@ -445,3 +445,11 @@ def test_pipeline_keeps_rows_without_an_id_of_their_own(spark, folder):
     out = cp.near_duplicates(spark, docs, folder)
     assert out.columns == docs.columns
     assert sorted(map(repr, ((r.doc_id, r.text) for r in out.collect()))) == sorted(map(repr, [(1, a), (1, b), (3, c), (None, d), (None, None), (4, e)]))
+
+
+def test_pipeline_removes_short_boilerplate(spark, folder):
+    import corpus_pipeline as cp
+
+    docs = docs_of(spark, [(i, f"own text number {i}\n\n Menu\nx{i}", "en", f"s{i}") for i in range(6)])
+    got = {r.doc_id: r.text for r in cp.lines(spark, docs, folder).collect()}
+    assert got == {i: f"own text number {i}\n" + ("\n Menu" if i == 0 else "") + f"\nx{i}" for i in range(6)}
