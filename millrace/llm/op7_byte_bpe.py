@@ -184,7 +184,7 @@ def _class(kind: str) -> str:
     return "".join(re.escape(chr(i)) for i in range(256) if unicodedata.category(chr(i))[0] == kind)
 
 
-_L, _N, _S = _class("L"), _class("N"), r" \t\n\r\f\v\x1c-\x1f\x85\xa0"
+_L, _N, _S = _class("L"), _class("N"), r" \t\n\r\f\v\x85\xa0"
 _NOT_LATIN = re.compile("[^\x00-\xff]")
 #: The public pattern with its classes spelled out for Latin-1.
 _LATIN = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
