@@ -3,33 +3,37 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.plans.names import fresh, quoted
 from millrace.plans.work import written
 from millrace.sources import table
 
-#: Distinct sites from which a line is boilerplate; characters from which a line is looked at;
-#: log2 of a sketch's registers.
-SITES, CHARS, REGISTERS = 5, 12, 12
+#: Distinct sites from which a line is boilerplate; log2 of a sketch's registers.
+SITES, REGISTERS = 5, 12
 
 
-def _lines(text: Column) -> Column:
+def _lines(text: Column | str) -> Column:
     return F.split(text, "\n", -1)
 
 
-def line_keys(docs: DataFrame, chars: int) -> DataFrame:
-    """``h1, h2, site, doc_id``: the distinct lines of each document, as hashes."""
-    trimmed = F.array_distinct(F.filter(F.transform(_lines(F.col("text")), lambda x: F.btrim(x)), lambda x: F.length(x) >= chars))
+def _hashes(line: Column | str) -> list[Column]:
+    return [F.xxhash64(line).alias("h1"), F.hash(line).alias("h2")]
+
+
+def line_keys(docs: DataFrame) -> DataFrame:
+    """``h1, h2, site, doc_id``: the distinct lines of each document that are not blank, as hashes."""
+    trimmed = F.array_distinct(F.filter(F.transform(_lines(F.col("text")), lambda x: F.btrim(x)), lambda x: x != ""))
     line = docs.select("doc_id", F.col("source").alias("site"), F.explode(trimmed).alias("line"))
-    return line.select(F.xxhash64("line").alias("h1"), F.hash("line").alias("h2"), "site", "doc_id")
+    return line.select(*_hashes("line"), "site", "doc_id")
 
 
-def boilerplate(docs: DataFrame, sites: int = SITES, chars: int = CHARS) -> DataFrame:
+def boilerplate(docs: DataFrame, sites: int = SITES) -> DataFrame:
     """``h1, h2, first_doc``: lines seen on at least ``sites`` distinct sites.
 
     One HyperLogLog sketch of sites per line hash merges by aggregation, so a line on a third of all
     pages is a sketch a map task in the shuffle. Estimates below half the threshold are not
     boilerplate and estimates above twice it are; only the lines between are counted exactly.
     """
-    keys = line_keys(docs.where("doc_id IS NOT NULL"), chars)
+    keys = line_keys(docs.where("doc_id IS NOT NULL"))
     seen = keys.groupBy("h1", "h2").agg(F.hll_sketch_agg("site", F.lit(REGISTERS)).alias("sketch"), F.min("doc_id").alias("first_doc"))
     seen = seen.withColumn("estimate", F.hll_sketch_estimate("sketch")).where(F.col("estimate") >= max(2.0, sites / 2)).drop("sketch")
     seen = written(seen, "line-sites")
@@ -39,33 +43,43 @@ def boilerplate(docs: DataFrame, sites: int = SITES, chars: int = CHARS) -> Data
     return sure.union(seen.join(exact, ["h1", "h2"]).select("h1", "h2", "first_doc"))
 
 
-def without_boilerplate(docs: DataFrame, sites: int = SITES, chars: int = CHARS) -> DataFrame:
+def without_boilerplate(docs: DataFrame, sites: int = SITES) -> DataFrame:
     """Remove boilerplate lines: the same rows, with new ``text`` and ``n_lines, n_removed``.
 
-    ``docs(doc_id, text, source, ..)``. A line is compared without white space at its ends, and
-    counts once a document. One that is on ``sites`` distinct sources or more is removed from every
-    document but the one with the smallest doc_id that holds it, so its content stays once. Lines
-    shorter than ``chars`` characters are never removed. Built of DataFrame functions alone.
+    ``docs(doc_id, text, source, ..)``. A line of any length is compared without blanks at its ends,
+    and counts once a document. One that is on ``sites`` distinct sources or more is removed from
+    every document but the one with the smallest doc_id that holds it, so its content stays once.
+    Blank lines stay. Built of DataFrame functions alone.
+
+    Only hashes of lines are shuffled for counting; each document then meets the places of its own
+    removed lines, and what is left is put together from the other places, in time linear in its
+    lines. A line on a third of all documents is one key of a join whose other side is unique;
+    adaptive execution splits it where that side is not broadcast.
 
-    Only hashes of lines are shuffled for counting; each document then meets the hashes of its own
-    removed lines. A null source is no site; a document with null doc_id or null text stays as it
-    is (null text: 0 lines). Repeated doc_ids are one document, all of whose rows lose the same
-    lines. A document may end with an empty text. Other columns are kept, ones named n_lines and
-    n_removed replaced. An empty table gives no rows.
+    A null source is no site; a document with null doc_id or null text stays as it is (null text: 0
+    lines). Repeated doc_ids are one document, all of whose rows lose the same lines. A document may
+    end with an empty text. Other columns are kept whatever their names, but ones named n_lines and
+    n_removed, which are replaced. An empty table gives no rows.
     """
     own = docs.select("doc_id", "text", "source")
-    gone = written(boilerplate(own, sites, chars), "boilerplate")
-    hits = line_keys(own.where("doc_id IS NOT NULL"), chars).select("h1", "h2", "doc_id").join(gone, ["h1", "h2"]).where("doc_id <> first_doc")
-    cut = hits.groupBy("doc_id").agg(F.collect_set(F.struct("h1", "h2")).alias("_cut"))
-    joined = docs.drop("n_lines", "n_removed").join(cut, "doc_id", "left")
-    lines = _lines(F.col("text"))
-    keep = F.filter(lines, lambda x: ~((F.length(F.btrim(x)) >= chars) & F.array_contains(F.col("_cut"), F.struct(F.xxhash64(F.btrim(x)).alias("h1"), F.hash(F.btrim(x)).alias("h2")))))
-    kept = F.when(F.col("_cut").isNull(), lines).otherwise(keep)
-    out = joined.withColumn("_kept", kept)
-    rest = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    size = lambda a: F.when(F.col("text").isNull(), 0).otherwise(F.size(a)).cast("long")
-    text = F.when(F.col("_cut").isNull(), F.col("text")).otherwise(F.array_join("_kept", "\n"))
-    return out.select(*[text.alias(c) if c == "text" else F.col(f"`{c}`") for c in rest], size(lines).alias("n_lines"), (size(lines) - size("_kept")).alias("n_removed"))
+    gone = written(boilerplate(own, sites), "boilerplate")
+    # a row is known by its id and the hash of its text: equal ones lose the same places
+    row = F.xxhash64("text").alias("row")
+    place = own.where("doc_id IS NOT NULL").select("doc_id", row, F.posexplode(F.transform(_lines(F.col("text")), lambda x: F.btrim(x))).alias("place", "line")).where("line <> ''")
+    hits = place.select("doc_id", "row", "place", *_hashes("line")).join(gone, ["h1", "h2"]).where("doc_id <> first_doc")
+    rest = [c for c in docs.columns if c.lower() not in ("n_lines", "n_removed")]
+    kept = docs.select(*quoted(*rest))
+    id_, key, cut, left = fresh(kept, "cut_id", "cut_row", "cut", "left")
+    cuts = hits.groupBy(F.col("doc_id").alias(id_), F.col("row").alias(key)).agg(F.collect_set("place").alias(cut))
+    joined = kept.join(cuts, (F.col("doc_id") == F.col(id_)) & (F.xxhash64("text") == F.col(key)), "left")
+    lines, text = _lines(F.col("text")), F.col("text")
+    # a lambda's argument is evaluated once; split inside the inner one would be once for every place
+    stay = lambda ls: F.transform(F.array_except(F.sequence(F.lit(0), F.size(ls) - 1), F.col(cut)), lambda i: F.get(ls, i))
+    joined = joined.withColumn(left, F.when(F.col(cut).isNotNull(), F.array_join(F.element_at(F.transform(F.array(lines), stay), 1), "\n")))
+    n = lambda a: F.when(text.isNull(), 0).otherwise(F.size(a)).cast("long")
+    new = F.coalesce(left, text).alias("text")
+    removed = F.when(F.col(cut).isNull(), 0).otherwise(F.size(cut)).cast("long").alias("n_removed")
+    return joined.select(*[new if c == "text" else F.col(*quoted(c)) for c in rest], n(lines).alias("n_lines"), removed)
 
 
 def op9_line_dedup(spark, folder: str) -> DataFrame:
@@ -77,7 +91,7 @@ SQL = f"""
 WITH l AS (
   SELECT doc_id, source, pos, line, trim(line) AS k
   FROM (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents)),
-b AS (SELECT k, min(doc_id) AS first_doc FROM l WHERE length(k) >= {CHARS} GROUP BY k HAVING count(DISTINCT source) >= {SITES}),
+b AS (SELECT k, min(doc_id) AS first_doc FROM l WHERE k <> '' GROUP BY k HAVING count(DISTINCT source) >= {SITES}),
 m AS (SELECT l.*, b.k IS NOT NULL AND l.doc_id <> b.first_doc AS gone FROM l LEFT JOIN b USING (k))
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_removed,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS text_sha256
