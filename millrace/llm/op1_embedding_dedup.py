@@ -1,5 +1,6 @@
-"""Embedding near-duplicates by random hashes, with a recall that is set beforehand."""
+"""Embedding near-duplicates by sorted projection passes, with a recall that is set beforehand."""
 
+import functools
 import math
 
 import numpy as np
@@ -13,12 +14,11 @@ from millrace.plans.graph import connected_components, thinned
 from millrace.plans.work import written
 from millrace.sources import table
 
-#: Least chance that two vectors at exactly the threshold are compared; most hashes of a key.
-RECALL, HASHES = 0.99, 6
-#: Rows of a block in a bucket of one key; rows up to which a bucket is not dealt in blocks.
-FACING, SMALL = 2048, 32
-#: Distinct vectors of one length up to which all pairs are compared, without hashes.
-ALL_PAIRS = 16_384
+#: Least chance that two vectors at exactly the threshold are compared; most hashes of a key; hashes
+#: after the key that order the rows of a run further.
+RECALL, HASHES, FURTHER = 0.99, 6, 2
+#: Rows that a row is compared with along the order; rows of a block of a run that is longer than that.
+WINDOW, FACING = 16, 2048
 #: Rows of a block of an exact count.
 BLOCK = 256
 
@@ -84,7 +84,7 @@ def agreement(threshold: float, d: int, seed: int) -> float:
 
 
 def key_plan(n: int, sample: np.ndarray, threshold: float, recall: float, seed: int) -> tuple[int, int]:
-    """(hashes of a key, passes) of the least estimated work that meets ``recall``; (0, 1) is all pairs.
+    """(hashes of a key, passes) of the least estimated work that meets ``recall``.
 
     A pair at the threshold shares a key of h hashes in a pass with chance p ** h, so passes follow
     from ``recall``. How many pairs share one by chance, hot keys included, is measured on a sample.
@@ -97,10 +97,10 @@ def key_plan(n: int, sample: np.ndarray, threshold: float, recall: float, seed:
         agree += code[:, None] == code
     times = np.bincount(agree[np.triu_indices(len(sample), 1)], minlength=draws + 1)
     p = agreement(threshold, d, seed)
-    best = (math.inf, 0, 1)
-    for h in range(HASHES + 1):
+    best = (math.inf, 1, 1)
+    for h in range(1, HASHES + 1):
         shared = sum(float(c) * math.comb(a, h) for a, c in enumerate(times)) / max(times.sum(), 1) / math.comb(draws, h)
-        passes = 1 if h == 0 or p**h >= recall else math.ceil(math.log(1 - recall) / math.log(1 - p**h))
+        passes = 1 if p**h >= recall else math.ceil(math.log(1 - recall) / math.log(1 - p**h))
         # seconds: a row in a pass and in each block it faces, its rotations, and a comparison
         row = 1e-5 * (1 + n * shared / FACING) + 2e-10 * d * d * h
         best = min(best, (passes * (n * row + n * n / 2 * shared * (2e-9 + 1.5e-10 * d)), h, passes))
@@ -111,11 +111,12 @@ def embedding_links(vectors: DataFrame, threshold: float = 0.9, recall: float =
     """Near-duplicate vectors: ``vectors(vec_id long, embedding array)`` -> one row per vector.
 
     1. Equal vectors become one class with a count, so copies cost nothing further.
-    2. All classes that share a key are compared with one another, by cosine in double precision; a
-       key is some concatenated random hashes, drawn anew in each pass. How many hashes and passes
-       follows from the number of classes of a vector length and the share of pairs that hot keys
-       hold (``key_plan``); up to ``ALL_PAIRS`` classes there is no hash and all pairs meet. Small buckets are
-       compared along the sorted partition, larger ones in pairs of blocks: none is cut.
+    2. In each pass the classes are ordered lexicographically by concatenated random hashes, drawn
+       anew, and each is compared with the ``WINDOW`` rows after it, by cosine in double precision.
+       The first hashes are the key: rows with one key are a run. A run that is longer than the
+       window is compared whole, in pairs of blocks, so no run is cut. How many hashes make the key
+       and how many passes there are follows from the number of classes of a vector length and the
+       share of pairs that hot keys hold (``key_plan``).
     3. Connected components over all passes.
     4. Every vector's links are then counted exactly within its component. In a component above
        ``BLOCK`` rows, rows within half the threshold angle of the mean direction are linked with
@@ -123,8 +124,8 @@ def embedding_links(vectors: DataFrame, threshold: float = 0.9, recall: float =
        blocks. A group holding a third of the rows thus costs linear work when it is tight.
 
     Any two vectors at exactly ``threshold`` are compared with a chance of at least ``recall``, and
-    nearer ones with a higher one, whatever the size of the table and the vectors around them; with
-    few vectors, always. Linked vectors also meet through others. Precision is exact.
+    nearer ones with a higher one, whatever the size of the table and the vectors around them.
+    Linked vectors also meet through others. Precision is exact.
 
     Null, zero, empty, and non-finite vectors link with nothing and are their own component, and so
     do vectors of different lengths. Repeated ``vec_id`` rows stay repeated rows. A null ``vec_id``
@@ -133,15 +134,16 @@ def embedding_links(vectors: DataFrame, threshold: float = 0.9, recall: float =
     """
     v = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding"))
     ok = v.where(usable() & F.col("vec_id").isNotNull())
-    classes = written(ok.groupBy("embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("weight")), "classes")
+    classes = written(ok.groupBy("embedding").agg(F.min("vec_id").alias("least"), F.count("*").alias("weight")), "classes")
+    # a class is named by its smallest vec_id, and by its content where an id has several vectors
+    shared = classes.groupBy("least").count().where("count > 1").select("least", F.lit(True).alias("shared"))
+    classes = classes.join(shared, "least", "left").withColumn("rep", F.when(F.col("shared"), F.xxhash64("embedding")).otherwise(F.col("least"))).drop("shared")
     kind = classes.schema["embedding"].dataType.simpleString()
     rad = np.arccos(threshold)
     plan: dict[int, tuple[int, int]] = {}
     for d, n in classes.groupBy(F.size("embedding")).count().collect():
-        plan[d] = (0, 1)
-        if n > ALL_PAIRS:
-            some = classes.where(F.size("embedding") == d).orderBy(F.xxhash64("rep"), "rep").limit(1000).select("embedding").toArrow()
-            plan[d] = key_plan(n, by_length(some.column(0))[0][2], threshold, recall, seed)
+        some = classes.where(F.size("embedding") == d).orderBy(F.xxhash64("rep"), "rep").limit(1000).select("embedding").toArrow()
+        plan[d] = key_plan(n, by_length(some.column(0))[0][2], threshold, recall, seed)
 
     def keys(batches):
         for b in batches:
@@ -150,41 +152,40 @@ def embedding_links(vectors: DataFrame, threshold: float = 0.9, recall: float =
                 hashes, passes = plan[d]
                 own = rep.take(pa.array(rows))
                 for p in range(passes):
-                    key = np.zeros(len(rows), np.int64)
-                    for h in range(hashes):
-                        key = key * (2 * d) % (1 << 50) + hash_codes(unit, seed + p * HASHES + h)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), p, np.int32)), pa.array(np.full(len(rows), d, np.int32)), pa.array(key), own], ["pass", "dim", "key", "rep"])
-
-    coded = classes.select("rep", "embedding").mapInArrow(keys, "pass int, dim int, key long, rep long")
-    coded = written(coded.select(F.xxhash64("pass", "dim", "key").alias("gid"), "rep"), "codes")
-    sizes = written(coded.groupBy("gid").count().where("count > 1"), "bucket-sizes")
+                    code = [hash_codes(unit, seed + p * (HASHES + FURTHER) + h) for h in range(hashes + FURTHER)]
+                    key, order = (functools.reduce(lambda k, c: k * (2 * d) % (1 << 50) + c, part, np.zeros(len(rows), np.int64)) for part in (code[:hashes], code[hashes:]))
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), p, np.int32)), pa.array(np.full(len(rows), d, np.int32)), pa.array(key), pa.array(order), own], ["pass", "dim", "key", "order", "rep"])
+
+    place = ["pass", "dim", "key"]
+    coded = written(classes.select("rep", "embedding").mapInArrow(keys, "pass int, dim int, key long, order long, rep long").withColumn("gid", F.xxhash64(*place)), "codes")
+    sizes = written(coded.groupBy("gid").count().where("count > 1"), "run-sizes")
     bodies = classes.select("rep", "embedding")
 
     def alongside(batches):
-        """Links within the buckets of a sorted partition, each row with those after it, as a forest."""
+        """Links of each row with those after it in a sorted partition, as a forest."""
         tail: dict = {}
         left: list[int] = []
         right: list[int] = []
         for b in batches:
-            ids, gid = (b.column(b.schema.get_field_index(c)).to_numpy() for c in ("rep", "gid"))
+            ids = b.column(b.schema.get_field_index("rep")).to_numpy()
             for d, rows, unit in by_length(b.column(b.schema.get_field_index("embedding"))):
-                own, g = ids[rows], gid[rows]
+                own = ids[rows]
+                new = 0  # pairs of held rows have been compared
                 if d in tail:
-                    own, g, unit = (np.concatenate(x) for x in zip(tail[d], (own, g, unit), strict=True))
-                for w in range(1, min(SMALL, len(own))):
-                    i = np.flatnonzero(g[:-w] == g[w:])
-                    if not len(i):
-                        break
-                    i = i[np.einsum("ij,ij->i", unit[i], unit[i + w]) >= threshold]
+                    new = len(tail[d][0])
+                    own, unit = np.concatenate([tail[d][0], own]), np.concatenate([tail[d][1], unit])
+                for w in range(1, min(WINDOW, len(own))):
+                    s = max(0, new - w)
+                    i = np.flatnonzero(np.einsum("ij,ij->i", unit[s:-w], unit[s + w :]) >= threshold) + s
                     left += own[i].tolist()
                     right += own[i + w].tolist()
-                tail[d] = own[-SMALL:], g[-SMALL:], unit[-SMALL:]
+                tail[d] = own[-WINDOW:], unit[-WINDOW:]
             if len(left) > 500_000:
                 left, right = _spanned(left, right)
         yield from _edges(*_spanned(left, right))
 
     def facing(batches):
-        """Links between two blocks of a bucket, as a forest."""
+        """Links between two blocks of a run, as a forest."""
         for t in runs(batches, ["gid", "a", "b"]):
             ids, own = t.column("rep").to_numpy(), t.column("own").to_numpy()
             a, b = t.column("a")[0].as_py(), t.column("b")[0].as_py()
@@ -198,9 +199,11 @@ def embedding_links(vectors: DataFrame, threshold: float = 0.9, recall: float =
                 x, y = thinned(hit)
                 yield from _edges(*_spanned(ids[rows][i[x]].tolist(), ids[rows][j[y]].tolist()))
 
-    low = coded.join(sizes.where(F.col("count") <= SMALL).select("gid"), "gid").join(bodies, "rep")
-    edges = low.select("gid", "rep", "embedding").repartition("gid").sortWithinPartitions("gid").mapInArrow(alongside, "u long, v long")
-    high = coded.join(sizes.where(F.col("count") > SMALL).select("gid", F.ceil(F.col("count") / FACING).cast("int").alias("blocks")), "gid")
+    # a run within the window is on one partition, as its rows have one key; so the range needs no more than keys
+    low = coded.join(sizes.where(F.col("count") > WINDOW).select("gid"), "gid", "left_anti").join(bodies, "rep")
+    low = low.select(*place, "order", "rep", "embedding").repartitionByRange(*place).sortWithinPartitions(*place, "order", "rep")
+    edges = low.select("rep", "embedding").mapInArrow(alongside, "u long, v long")
+    high = coded.join(sizes.where(F.col("count") > WINDOW).select("gid", F.ceil(F.col("count") / FACING).cast("int").alias("blocks")), "gid")
     high = high.withColumn("own", F.pmod(F.xxhash64("rep"), "blocks").cast("int")).select("gid", "rep", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     high = high.select("gid", F.greatest("own", "other").alias("a"), F.least("own", "other").alias("b"), "own", "rep").join(bodies, "rep")
     high = high.select("gid", "a", "b", "own", "rep", "embedding").repartition("gid", "a", "b").sortWithinPartitions("gid", "a", "b")
@@ -228,11 +231,10 @@ def embedding_links(vectors: DataFrame, threshold: float = 0.9, recall: float =
         for b in batches:
             col = {c: b.column(b.schema.get_field_index(c)) for c in ("gid", "id", "weight", "embedding", "mean")}
             core = np.zeros(b.num_rows, bool)
-            for i, (e, c) in enumerate(zip(col["embedding"], col["mean"], strict=True)):
-                if c.is_valid:
-                    x, y = _unit(e.values.to_numpy(), len(e))[0], c.values.to_numpy()
-                    size = np.linalg.norm(y)
-                    core[i] = size > 0 and x @ y / size > np.cos(rad / 2 - 1e-6)
+            some = np.flatnonzero(col["mean"].is_valid().to_numpy(zero_copy_only=False))
+            x, y = (col[c].take(pa.array(some)) for c in ("embedding", "mean"))
+            for (_, rows, unit), (_, _, mean) in zip(by_length(x), by_length(y), strict=True):
+                core[some[rows]] = np.einsum("ij,ij->i", unit, mean) > np.cos(rad / 2 - 1e-6)
             yield pa.RecordBatch.from_arrays([col["gid"], col["id"], col["weight"], pa.array(core), col["embedding"]], ["gid", "id", "weight", "core", "embedding"])
 
     marked = written(members.join(mean, "gid", "left").mapInArrow(cores, f"gid long, id long, weight long, core boolean, embedding {kind}"), "marked")
@@ -242,8 +244,10 @@ def embedding_links(vectors: DataFrame, threshold: float = 0.9, recall: float =
         return unit[a] @ unit[b].T >= threshold
 
     counted = group_links(marked, linked, "embedding", BLOCK).groupBy("id").agg(F.sum("n").alias("others"))
-    labels = classes.join(found, F.col("rep") == F.col("node"), "left").join(counted, F.col("rep") == F.col("id"), "left")
-    labels = labels.select("embedding", F.coalesce("component", "rep").alias("component_id"), (F.col("weight") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+    named = found.join(classes.select("least", "rep"), F.col("rep") == F.col("node"))
+    named = found.join(named.groupBy("component").agg(F.min("least").alias("component_id")), "component").select("node", "component_id")
+    labels = classes.join(named, F.col("rep") == F.col("node"), "left").join(counted, F.col("rep") == F.col("id"), "left")
+    labels = labels.select("embedding", F.coalesce("component_id", "least").alias("component_id"), (F.col("weight") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
     good = ok.join(labels, "embedding").select("vec_id", "n_links", "component_id")
     bad = v.where(~usable() | F.col("vec_id").isNull()).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return good.union(bad).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
