@@ -1,5 +1,7 @@
 """N-gram Jaccard join along chosen paths."""
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -13,10 +15,12 @@ from millrace.plans.work import written
 from millrace.sources import table
 
 WIDTH, THRESHOLD = 5, 0.8
-#: Sampled tokens (minima) of a set; runs; rows above which a bucket is split in Spark and below
-#: which it is compared without a further split; splits of an oversized bucket; rows of a block of
-#: a bucket that splits do not divide; rows of a comparison task.
-TOKENS, RUNS, SPLIT, LEAF, DEPTH, PAIRED, BLOCK = 48, 8, 1000, 48, 4, 2000, 192
+#: Least chance that a pair at the threshold is proposed; sampled tokens (minima) of a set.
+RECALL, TOKENS = 0.9999, 48
+#: Rows above which a bucket is split in Spark and below which it is compared without a further
+#: split; splits of an oversized bucket; rows of a block of a bucket that splits do not divide; rows
+#: of a block of an exact count.
+SPLIT, LEAF, DEPTH, PAIRED, BLOCK = 1000, 48, 4, 2000, 192
 
 
 def sketches(docs: DataFrame, width: int) -> DataFrame:
@@ -27,79 +31,136 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
             ids, texts = b.column(b.schema.get_field_index("doc_id")), b.column(b.schema.get_field_index("text")).to_pylist()
             for first, part in blocks(texts):
                 h, off = shingle_hashes(part, width)
-                some = np.flatnonzero(np.diff(off))
-                one, two = np.zeros(len(part), np.uint64), np.zeros(len(part), np.uint64)
-                if len(some):
-                    one[some] = np.add.reduceat(h, off[:-1][some])
-                    two[some] = np.add.reduceat(h * h ^ h >> np.uint64(29), off[:-1][some])
+                one, two = _content(h, off)
                 tokens = minhashes(h, off, TOKENS, 7)
                 flat = pa.array(tokens.astype("<u4").view(np.int32).ravel())
-                yield pa.RecordBatch.from_arrays([ids.slice(first, len(part)), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(np.diff(off) > 0), pa.ListArray.from_arrays(pa.array(np.arange(len(part) + 1, dtype=np.int32) * TOKENS), flat)], ["doc_id", "h1", "h2", "some", "tokens"])
+                yield pa.RecordBatch.from_arrays([ids.slice(first, len(part)), pa.array(one), pa.array(two), pa.array(np.diff(off) > 0), pa.ListArray.from_arrays(pa.array(np.arange(len(part) + 1, dtype=np.int32) * TOKENS), flat)], ["doc_id", "h1", "h2", "some", "tokens"])
 
     return docs.select("doc_id", "text").mapInArrow(sketch, "doc_id long, h1 long, h2 long, some boolean, tokens array<int>")
 
 
+def _content(h: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of each text's multiset of shingles."""
+    some = np.flatnonzero(np.diff(off))
+    one, two = np.zeros(len(off) - 1, np.uint64), np.zeros(len(off) - 1, np.uint64)
+    if len(some):
+        one[some] = np.add.reduceat(h, off[:-1][some])
+        two[some] = np.add.reduceat(h * h ^ h >> np.uint64(29), off[:-1][some])
+    return one.view(np.int64), two.view(np.int64)
+
+
+def runs_for(threshold: float, recall: float) -> int:
+    """Runs after which a pair at the threshold has been proposed with a chance of ``recall``, in the deepest buckets.
+
+    A run follows one sampled token at depth 1 and either of two at each of the further DEPTH - 1
+    splits; a pair at the threshold shares a sampled token with that chance.
+    """
+    found = threshold * (1 - (1 - threshold) ** 2) ** (DEPTH - 1)
+    return max(1, math.ceil(math.log(1 - recall) / math.log(1 - found)))
+
+
 def least_agreement(threshold: float) -> int:
     """Equal tokens below which a pair of sets at the threshold falls once in about 10,000 times."""
     return int(TOKENS * threshold - 3.75 * (TOKENS * threshold * (1 - threshold)) ** 0.5)
 
 
-def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD, width: int = WIDTH, n_runs: int = RUNS) -> DataFrame:
+def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD, width: int = WIDTH, recall: float = RECALL) -> DataFrame:
     """Near-duplicate documents: ``docs(doc_id long, text string)`` -> one row per document.
 
     1. Texts with equal shingles are one class with a count. 48 minima stand for each class's set:
        two sets share each with the probability of their Jaccard similarity.
-    2. A chosen-path join proposes pairs. In each of ``n_runs`` runs the classes are split on one
-       sampled token; a bucket above ``SPLIT`` rows is split again in Spark on two further sampled
-       tokens (a pair may follow either), up to ``DEPTH`` times. A large bucket that keeps over
-       half of its parent's rows is one of near copies, which no token divides: it is dealt into
-       pairs of blocks, and so is what is still large at the end, so that no bucket is left out.
-       Inside a task, buckets above ``LEAF`` rows split on while tokens divide them; leaves are
-       compared by brute force on all 48 tokens. A task's pairs leave it as one spanning forest.
-       One run misses a pair at the threshold with probability 0.2 at depth 1, eight with 3e-6; at
-       depth d with two branches per split the chance stays above 0.8 * 0.96 ** (d - 1) per run.
-    3. Components of these pairs are compared exactly, block by block, on their whole shingle sets;
-       true links are counted for each document and their components are the classes.
+    2. A chosen-path join proposes pairs, in as many runs as ``recall`` needs (``runs_for``). In
+       each, the classes are split on one sampled token; a bucket above ``SPLIT`` rows is split
+       again in Spark on two further sampled tokens (a pair may follow either), up to ``DEPTH``
+       times. A large bucket that keeps over half of its parent's rows is one of near copies, which
+       no token divides: it is dealt into pairs of blocks, and so is what is still large at the end,
+       so that no bucket is left out. Inside a task, buckets above ``LEAF`` rows split on while
+       tokens divide them; leaves are compared by brute force on all 48 tokens. A task's pairs leave
+       it as one spanning forest.
+    3. Components of these pairs are compared exactly on their whole shingle sets; true links are
+       counted for each document and their components are the classes. In a component above
+       ``BLOCK`` classes, sets within half the threshold distance of a central one are linked with
+       one another by the triangle inequality (one minus the similarity is a metric), and need no
+       comparison; the rest are compared in pairs of blocks. So a group of near copies costs linear
+       work when it is tight, and no pair is ever a row.
 
     Links are pairs with Jaccard similarity >= ``threshold``; precision is exact. Null and empty
     texts, and texts without any word, have no shingle: they link with nothing, whatever their
     number. A text below ``width`` words is one shingle. Repeated rows (same doc_id) are links of
-    one another like any equal texts. A row with null doc_id is returned with zero links, a null
-    class and kept false. Other columns are ignored. An empty table gives no rows.
+    one another like any equal texts; rows of one doc_id with different texts are each judged by
+    their own. A row with null doc_id is returned with zero links, a null class and kept false.
+    Other columns are ignored. An empty table gives no rows.
     Columns: doc_id, class_id (smallest doc_id of the class), n_links, kept (doc_id = class_id).
     """
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     known = d.where("doc_id IS NOT NULL")
     sk = written(sketches(known, width), "sketches")
     classes = written(sk.where("some").groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("weight"), F.min_by("tokens", "doc_id").alias("tokens")), "classes")
-    pairs = chosen_pairs(classes.select("rep", "tokens"), least_agreement(threshold), n_runs)
-    likely = written(connected_components(pairs), "likely")
-
-    rows = classes.join(likely, F.col("rep") == F.col("node")).select(F.col("component").alias("gid"), F.col("rep").alias("id"), "weight")
-    one_text = d.join(rows, F.col("doc_id") == F.col("id")).select("gid", "id", "weight", "text").dropDuplicates(["id"])
+    # a class is named by its smallest doc_id, and by its content where an id has several texts
+    shared = classes.groupBy("rep").count().where("count > 1").select("rep", F.lit(True).alias("shared"))
+    classes = classes.join(shared, "rep", "left").withColumn("node", F.when(F.col("shared"), F.xxhash64("h1", "h2")).otherwise(F.col("rep"))).drop("shared")
+    pairs = chosen_pairs(classes.select(F.col("node").alias("rep"), "tokens"), least_agreement(threshold), runs_for(threshold, recall))
+    likely = written(connected_components(pairs), "likely").select("node", F.col("component").alias("gid"))
+    grouped = written(classes.join(likely, "node"), "grouped")
 
     def sets(batches):
         for b in batches:
-            col = {c: b.column(b.schema.get_field_index(c)) for c in ("gid", "id", "weight")}
+            col = {c: b.column(b.schema.get_field_index(c)) for c in ("gid", "id", "weight", "h1", "h2")}
             for first, part in blocks(b.column(b.schema.get_field_index("text")).to_pylist()):
                 h, off = shingle_hashes(part, width)
-                own = [np.unique(h[s:e]) for s, e in zip(off[:-1], off[1:], strict=True)]
-                values = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, own)]).astype(np.int32)), pa.array(np.concatenate(own).view(np.int64)))
-                yield pa.RecordBatch.from_arrays([col["gid"].slice(first, len(part)), col["id"].slice(first, len(part)), col["weight"].slice(first, len(part)), pa.array(np.zeros(len(part), bool)), values], ["gid", "id", "weight", "core", "shingles"])
+                one, two = _content(h, off)
+                mine = {c: x.slice(first, len(part)) for c, x in col.items()}
+                # another text of the same doc_id is not this class's
+                good = np.flatnonzero((one == mine["h1"].to_numpy()) & (two == mine["h2"].to_numpy()))
+                own = [np.unique(h[off[i] : off[i + 1]]) for i in good.tolist()]
+                values = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, own)]).astype(np.int32)), pa.array(np.concatenate(own or [np.empty(0, np.uint64)]).view(np.int64)))
+                yield pa.RecordBatch.from_arrays([*(mine[c].take(pa.array(good)) for c in ("gid", "id", "weight")), values], ["gid", "id", "weight", "shingles"])
 
-    members = one_text.mapInArrow(sets, "gid long, id long, weight long, core boolean, shingles array<long>")
-    members = written(members, "members")
+    one_text = d.join(grouped.select("gid", F.col("node").alias("id"), "weight", "rep", "h1", "h2"), F.col("doc_id") == F.col("rep"))
+    members = one_text.select("gid", "id", "weight", "h1", "h2", "text").dropDuplicates(["id", "text"]).mapInArrow(sets, "gid long, id long, weight long, shingles array<long>")
+    members = written(members.dropDuplicates(["id"]), "members")
+    members = written(with_cores(members, grouped, (1 + threshold) / 2), "marked")
     links = written(group_links(members, lambda t, a, b: jaccard_at_least(t, a, b, threshold), "shingles", BLOCK), "links")
-    found = connected_components(links.select(F.col("root").alias("u"), F.col("id").alias("v")))
+    found = written(connected_components(links.select(F.col("root").alias("u"), F.col("id").alias("v"))), "found")
     counted = links.groupBy("id").agg(F.sum("n").alias("others"))
-    out = classes.select("h1", "h2", "rep", "weight").join(found, F.col("rep") == F.col("node"), "left").join(counted, F.col("rep") == F.col("id"), "left")
-    out = out.select("h1", "h2", F.coalesce("component", "rep").alias("class_id"), (F.col("weight") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
-    good = sk.where("some").select("doc_id", "h1", "h2").join(out, ["h1", "h2"]).select("doc_id", "class_id", "n_links")
+    out = classes.select("h1", "h2", "node", "rep", "weight").join(found, "node").join(counted, F.col("node") == F.col("id"), "left")
+    least = out.groupBy("component").agg(F.min("rep").alias("class_id"))
+    out = out.join(least, "component").select("h1", "h2", "class_id", F.coalesce("others", F.lit(0)).alias("others"))
+    every = classes.select("h1", "h2", "rep", "weight").join(out, ["h1", "h2"], "left")
+    every = every.select("h1", "h2", F.coalesce("class_id", "rep").alias("class_id"), (F.col("weight") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+    good = sk.where("some").select("doc_id", "h1", "h2").join(every, ["h1", "h2"]).select("doc_id", "class_id", "n_links")
     alone = sk.where("NOT some").select("doc_id").union(d.where("doc_id IS NULL").select("doc_id"))
     alone = alone.select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
     return good.union(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(False)))
 
 
+def with_cores(members: DataFrame, grouped: DataFrame, near: float) -> DataFrame:
+    """``members`` with ``core``: whether a set has similarity ``near`` or more with its group's central one.
+
+    Only groups above ``BLOCK`` rows have a centre: the member with the most tokens that are the
+    commonest of the group at their place. Tokens are counted by aggregation, a centre is one row.
+    """
+    big = grouped.groupBy("gid").count().where(F.col("count") > BLOCK).select("gid")
+    tokens = grouped.join(big, "gid", "left_semi").select("gid", "node", F.posexplode("tokens").alias("place", "token"))
+    common = tokens.groupBy("gid", "place", "token").count().groupBy("gid", "place").agg(F.max_by("token", F.struct("count", "token")).alias("token"))
+    agree = tokens.join(common, ["gid", "place", "token"]).groupBy("gid", "node").count()
+    centre = agree.groupBy("gid").agg(F.max_by("node", F.struct("count", -F.col("node"))).alias("node"))
+    middle = members.join(centre, (members["gid"] == centre["gid"]) & (members["id"] == centre["node"])).select(members["gid"], F.col("shingles").alias("middle"))
+
+    def cores(batches):
+        for b in batches:
+            col = {c: b.column(b.schema.get_field_index(c)) for c in ("gid", "id", "weight", "shingles")}
+            middles = b.column(b.schema.get_field_index("middle"))
+            core = np.zeros(b.num_rows, bool)
+            for i in np.flatnonzero(middles.is_valid().to_numpy(zero_copy_only=False)).tolist():
+                x, y = col["shingles"][i].values.to_numpy(), middles[i].values.to_numpy()
+                common = len(np.intersect1d(x, y, assume_unique=True))
+                core[i] = common >= near * (len(x) + len(y) - common) + 1e-9
+            yield pa.RecordBatch.from_arrays([col["gid"], col["id"], col["weight"], pa.array(core), col["shingles"]], ["gid", "id", "weight", "core", "shingles"])
+
+    return members.join(middle, "gid", "left").mapInArrow(cores, "gid long, id long, weight long, core boolean, shingles array<long>")
+
+
 def chosen_pairs(sets: DataFrame, agree: int, n_runs: int) -> DataFrame:
     """``sets(rep long, tokens array<int>)`` -> ``u, v`` pairs with at least ``agree`` equal tokens, as forests of leaves."""
     token = lambda c: F.element_at("tokens", F.pmod(c, F.lit(TOKENS)).cast("int") + 1)
