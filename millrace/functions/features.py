@@ -8,21 +8,62 @@ from millrace.functions.text import strip
 # The canonical feature names.
 CANONICAL = ("name", "classification", "type1", "type2", "ability", "hp", "attack", "defense", "special attack", "special defense", "speed", "base_stat_total", "weight", "height", "idx", "evolution_line", "move.name", "move.short_description")
 
-# Variant spellings by the name they stand for.
-VARIANTS = {
-    "special attack": ("special_attack", "special-attack", "special.attack", "specialattack", "special aack", "special aattack", "special a-ttack", "special a_ttack", "special a ttack", "special anttack", "special attacker", "special apecial attack", "special aatack", "special attack"),
-    "special defense": ("special_defense", "special-defense", "special.defense", "specialdefense", "special aefense", "special apecial_defense", "special an defense", "special dense", "special special defense", "special a_defense", "special defense"),
-    "defense": ("de fense",),
-    "speed": ("speeed",),
-    "type2": ("tyep2", "type_2"),
-    "classification": ("classiﬁcation", "_classification_"),
-    "ability": ("abilities", "ability,"),
-    "height": ("height,",),
-    "evolution_line": ("evolution_line,", "evolution_line_full"),
-    "hp": ("hp",),
-    "move.name": ("movie.name", "move_name", "move/name", "move-name", "move - name", "move_info.name", "move[name]", "move 'name'", "_move"),
-    "move.short_description": ("short_description", "move_short_description", "move.description", "move_description", "move/short_description", "move-short_description", "move - short_description", "move_info.short_description", "move[short_description]", "move 'short_description'"),
-}
+# Variant spellings and the names they stand for.
+VARIANTS = (
+    ("special_attack", "special attack"),
+    ("special-attack", "special attack"),
+    ("special.attack", "special attack"),
+    ("specialattack", "special attack"),
+    ("special aack", "special attack"),
+    ("special aattack", "special attack"),
+    ("special a-ttack", "special attack"),
+    ("special a_ttack", "special attack"),
+    ("special a ttack", "special attack"),
+    ("special anttack", "special attack"),
+    ("special attacker", "special attack"),
+    ("special apecial attack", "special attack"),
+    ("special aatack", "special attack"),
+    ("special_defense", "special defense"),
+    ("special-defense", "special defense"),
+    ("special.defense", "special defense"),
+    ("specialdefense", "special defense"),
+    ("special aefense", "special defense"),
+    ("special apecial_defense", "special defense"),
+    ("special an defense", "special defense"),
+    ("special dense", "special defense"),
+    ("special special defense", "special defense"),
+    ("special a_defense", "special defense"),
+    ("de fense", "defense"),
+    ("speeed", "speed"),
+    ("tyep2", "type2"),
+    ("type_2", "type2"),
+    ("classiﬁcation", "classification"),
+    ("_classification_", "classification"),
+    ("abilities", "ability"),
+    ("ability,", "ability"),
+    ("height,", "height"),
+    ("evolution_line,", "evolution_line"),
+    ("evolution_line_full", "evolution_line"),
+    ("movie.name", "move.name"),
+    ("move_name", "move.name"),
+    ("move/name", "move.name"),
+    ("move-name", "move.name"),
+    ("move - name", "move.name"),
+    ("move_info.name", "move.name"),
+    ("move[name]", "move.name"),
+    ("move 'name'", "move.name"),
+    ("_move", "move.name"),
+    ("short_description", "move.short_description"),
+    ("move_short_description", "move.short_description"),
+    ("move.description", "move.short_description"),
+    ("move_description", "move.short_description"),
+    ("move/short_description", "move.short_description"),
+    ("move-short_description", "move.short_description"),
+    ("move - short_description", "move.short_description"),
+    ("move_info.short_description", "move.short_description"),
+    ("move[short_description]", "move.short_description"),
+    ("move 'short_description'", "move.short_description"),
+)
 
 # The first phrase that a question holds decides its feature.
 CASCADE = (
@@ -54,7 +95,7 @@ def question_to_feature(question: Column | str) -> Column:
 def normalize_feature(raw: Column | str) -> Column:
     """The canonical name of a raw feature; null if there is none."""
     c = F.lower(strip(F.col(raw) if isinstance(raw, str) else raw))
-    known = F.create_map(*[F.lit(x) for name, forms in VARIANTS.items() for f in forms for x in (f, name)])
+    known = F.create_map(*[F.lit(x) for pair in VARIANTS for x in pair])
     names = F.array(*map(F.lit, CANONICAL))
     s = F.regexp_replace(F.regexp_replace(c, r"^g[0-9]+[._\-\s]", ""), r"^stats[._]", "")
     t = F.regexp_replace(s, r"^move_info[._]", "")

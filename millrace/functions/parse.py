@@ -1,8 +1,9 @@
 """Parsing model responses: JSON inside prose, as VARIANT expressions without Python."""
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.features import normalize_info, parse_info
 from millrace.functions.text import SPACES, strip
 
 
@@ -117,3 +118,34 @@ def _all(v: Column, names: tuple[str, ...]) -> Column:
     for n in names[1:]:
         out = out & _has(v, n)
     return out
+
+
+#: Names of the feature lists of a response's items, by the place of the entity in the tag.
+INFO_KEYS = ("g1_info", "g2_info", "g3_info")
+
+
+def corpus_records(responses: DataFrame, kind: str) -> DataFrame:
+    """``responses(tag array<long>, response)`` -> ``text, tag array<struct<idx, info>>, type``.
+
+    Every object with a text in a response that parses is an article; the features of the i-th
+    entity of the tag are read from the i-th of INFO_KEYS, a list or a JSON list in a string, and
+    from none beyond. Responses that do not parse give no rows (``parse_counts`` counts them).
+    """
+    items = F.try_variant_get(parse_response("response"), "$", "array<variant>")
+    one = responses.select("tag", F.explode(items).alias("item")).where(_has(F.col("item"), "text"))
+
+    def info(key: str) -> Column:
+        given = F.try_variant_get("item", f"$.{key}", "variant")
+        listed = F.transform(F.try_variant_get(given, "$", "array<variant>"), lambda v: F.when(F.schema_of_variant(v) == "STRING", F.try_variant_get(v, "$", "string")))
+        text = F.when(F.schema_of_variant(given) == "STRING", F.try_variant_get(given, "$", "string"))
+        return F.coalesce(normalize_info(listed), parse_info(text), F.array().cast("array<string>"))
+
+    lists = F.array(*map(info, INFO_KEYS))
+    tag = F.transform("tag", lambda idx, i: F.struct(idx.alias("idx"), F.coalesce(F.get(F.col("lists"), i), F.array().cast("array<string>")).alias("info")))
+    return one.withColumn("lists", lists).select(F.try_variant_get("item", "$.text", "string").alias("text"), tag.alias("tag"), F.lit(kind).alias("type"))
+
+
+def parse_counts(responses: DataFrame) -> DataFrame:
+    """``parsed, failed, n`` of ``responses(response)``: one aggregate."""
+    v = parse_response("response")
+    return responses.agg(F.count_if(v.isNotNull()).alias("parsed"), F.count_if(v.isNull()).alias("failed"), F.count("*").alias("n"))

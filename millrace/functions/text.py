@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 SPACES = r"\t-\r\x1c-\x20\x85\xa0  -     　"
 #: The same for RE2, as DuckDB reads it.
 SPACES_RE2 = r"\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+#: The same characters, one by one.
+SPACE_CHARS = "".join(map(chr, [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
@@ -16,7 +18,7 @@ def _c(c: Column | str) -> Column:
 
 def strip(c: Column | str) -> Column:
     """Without white space at both ends."""
-    return F.regexp_replace(_c(c), f"^[{SPACES}]+|[{SPACES}]+$", "")
+    return F.btrim(_c(c), F.lit(SPACE_CHARS))
 
 
 def collapse_spaces(c: Column | str) -> Column:

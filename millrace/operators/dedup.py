@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.text import shingles
 from millrace.plans.graph import connected_components
+from millrace.plans.ship import ship
 from millrace.plans.work import written
 from millrace.sources import table
 
@@ -28,86 +29,138 @@ def banding(threshold: float, permutations: int = PERMUTATIONS) -> tuple[int, in
     return best[1], best[2]
 
 
-def hashed_shingles(docs: DataFrame, n: int) -> DataFrame:
-    """``doc_id, s array<long>``: distinct shingles as 64-bit hashes."""
-    return docs.select("doc_id", F.array_distinct(F.transform(shingles("text", n), lambda x: F.xxhash64(x))).alias("s"))
+def shingle_sets(docs: DataFrame, n: int, bands: int = 0, rows: int = 0) -> DataFrame:
+    """``doc_id, h1, h2, s array<long>, bands array<long>`` of texts with at least one word.
 
+    ``s`` are the distinct shingles as 64-bit hashes, sorted; ``h1, h2`` hash the set; ``bands`` are
+    hashes of ``rows`` MinHash values each. One pass of numpy over Arrow batches, in blocks of about
+    a million characters, so a very long text is a block of its own.
+    """
+    import numpy as np
+    import pyarrow as pa
+
+    ship(docs.sparkSession)
+
+    def run(batches):
+        from millrace.functions.ngrams import blocks, minhashes, mix, shingle_hashes
 
-def containment_pairs(docs: DataFrame, threshold: float = 0.8, n: int = 5, length: str = "s") -> DataFrame:
+        for b in batches:
+            ids = b.column(b.schema.get_field_index("doc_id"))
+            for first, part in blocks(b.column(b.schema.get_field_index("text")).to_pylist()):
+                h, off = shingle_hashes(part, n, ascii_words=True)
+                some = np.flatnonzero(np.diff(off))
+                if not len(some):
+                    continue
+                sets = [np.unique(h[off[i] : off[i + 1]]) for i in some.tolist()]
+                flat = np.concatenate(sets)
+                at = np.cumsum([0, *map(len, sets)])
+                key = np.zeros((len(some), bands), np.uint64)
+                if bands:
+                    least = minhashes(flat, at, bands * rows, 3).astype(np.uint64)
+                    for r in range(rows):
+                        key = mix(key * np.uint64(0x100000001B3) + least[:, r::rows] + np.uint64(1))
+                cols = [np.add.reduceat(flat, at[:-1]).view(np.int64), np.add.reduceat(flat * flat ^ flat >> np.uint64(29), at[:-1]).view(np.int64)]
+                lists = [pa.ListArray.from_arrays(pa.array(o.astype(np.int32)), pa.array(v.view(np.int64))) for o, v in ((at, flat), (np.arange(len(some) + 1) * bands, np.ascontiguousarray(key).ravel()))]
+                yield pa.RecordBatch.from_arrays([ids.slice(first, len(part)).take(pa.array(some)), *map(pa.array, cols), *lists], ["doc_id", "h1", "h2", "s", "bands"])
+
+    return docs.selectExpr("CAST(doc_id AS long) doc_id", "CAST(text AS string) text").where("doc_id IS NOT NULL").mapInArrow(run, "doc_id long, h1 long, h2 long, s array<long>, bands array<long>")
+
+
+def containment_pairs(docs: DataFrame, threshold: float = 0.8, n: int = 5) -> DataFrame:
     """All pairs (i < j) whose shared shingles are at least ``threshold`` of the smaller set.
 
     Prefix filter: in any fixed order of shingles, the smaller set's first ``size - ceil(threshold *
     size) + 1`` must hold one that is in the other set. The order is rarest first, so what everybody
-    shares is never joined on unless a set has nothing else. Only shingles in two documents or more
-    matter, and candidates are checked on sets.
+    shares is never joined on unless a set has nothing else. Only shingles in two sets or more
+    matter. Equal sets are one node (``containment_nodes``) in all of this and are verified once a
+    pair of nodes; their documents are expanded into pairs only here, as pairs are this result.
+
+    Null ids, and texts without a word, are in no pair. Rows of one doc_id with equal sets are one
+    document. An empty table gives no rows. Columns: i, j, containment (6 decimals).
+    """
+    pairs, members = containment_nodes(docs, threshold, n)
+    each = members.select(F.col("node").alias("u"), F.col("doc_id").alias("a"))
+    other = members.select(F.col("node").alias("v"), F.col("doc_id").alias("b"))
+    far = pairs.join(each, "u").join(other, "v").select("a", "b", "containment")
+    same = each.join(other, F.col("u") == F.col("v")).where("a < b").select("a", "b", F.lit(1.0).alias("containment"))
+    return far.union(same).where("a <> b").select(F.least("a", "b").alias("i"), F.greatest("a", "b").alias("j"), "containment").distinct()
+
+
+def containment_nodes(docs: DataFrame, threshold: float = 0.8, n: int = 5) -> tuple[DataFrame, DataFrame]:
+    """Containment between distinct sets: ``u, v, containment`` of nodes, and ``node, doc_id`` membership.
+
+    The linear form of ``containment_pairs``: copies are not expanded. A node is the smallest doc_id
+    of its set (a hash of the set where that id has several texts).
     """
-    sets = written(hashed_shingles(docs, n).where(F.size("s") > 0), "shingles")
-    one = sets.select("doc_id", F.size("s").alias("n"), F.explode("s").alias("h"))
+    sets = written(shingle_sets(docs, n), "shingles")
+    nodes = sets.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.min_by("s", "doc_id").alias("s"))
+    shared = nodes.groupBy("least").count().where("count > 1").select("least", F.lit(True).alias("shared"))
+    nodes = nodes.join(shared, "least", "left").withColumn("node", F.when(F.col("shared"), F.xxhash64("h1", "h2")).otherwise(F.col("least")))
+    nodes = written(nodes.select("node", "h1", "h2", "s"), "nodes")
+    members = sets.select("doc_id", "h1", "h2").distinct().join(nodes.select("node", "h1", "h2"), ["h1", "h2"]).select("node", "doc_id")
+    one = nodes.select("node", F.size("s").alias("n"), F.explode("s").alias("h"))
     df = one.groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
-    known = written(one.join(df, "h").select("doc_id", "n", "h", "df"), "postings")
-    # shingles of one document alone come first in the order and join with nothing
-    ranked = known.groupBy("doc_id", "n").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("o"))
+    known = written(one.join(df, "h").select("node", "n", "h", "df"), "postings")
+    # shingles of one set alone come first in the order and join with nothing
+    ranked = known.groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("o"))
     keep = F.col("n") - F.ceil(F.col("n") * threshold - 1e-9).cast("int") + 1 - (F.col("n") - F.size("o"))
-    prefix = ranked.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.explode(F.slice("o", F.lit(1), F.greatest(keep, F.lit(0)))).alias("x")).select("a", "na", F.col("x.h").alias("h"))
-    cand = prefix.join(known.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), "h"), "h").where("a <> b AND na <= nb").select("a", "b").distinct()
-    cand = cand.select(F.least("a", "b").alias("i"), F.greatest("a", "b").alias("j")).distinct()
-    both = cand.join(sets.select(F.col("doc_id").alias("i"), F.col("s").alias("si")), "i").join(sets.select(F.col("doc_id").alias("j"), F.col("s").alias("sj")), "j")
-    share = F.size(F.array_intersect("si", "sj")) / F.least(F.size("si"), F.size("sj"))
-    return both.select("i", "j", F.round(share, 6).alias("containment")).where(F.col("containment") >= threshold)
+    prefix = ranked.select(F.col("node").alias("a"), F.col("n").alias("na"), F.explode(F.slice("o", F.lit(1), F.greatest(keep, F.lit(0)))).alias("x")).select("a", "na", F.col("x.h").alias("h"))
+    cand = prefix.join(known.select(F.col("node").alias("b"), F.col("n").alias("nb"), "h"), "h").where("a <> b AND na <= nb")
+    cand = cand.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct()
+    both = cand.join(nodes.select(F.col("node").alias("u"), F.col("s").alias("su")), "u").join(nodes.select(F.col("node").alias("v"), F.col("s").alias("sv")), "v")
+    share = F.size(F.array_intersect("su", "sv")) / F.least(F.size("su"), F.size("sv"))
+    return both.select("u", "v", F.round(share, 6).alias("containment")).where(F.col("containment") >= threshold), members
 
 
 def near_dedup(docs: DataFrame, threshold: float = 0.8, n: int = 5, permutations: int = PERMUTATIONS) -> DataFrame:
-    """The documents that greedy removal keeps.
+    """The documents that greedy removal keeps, with all their columns.
 
     Candidates share a band of MinHash values (bands for Jaccard ``max(0.5, threshold - 0.2)``).
-    In order of id, each kept document is compared with its kept candidates in order: of a pair with
+    In order of id, each kept document is compared with its kept candidates: of a pair with
     containment at or above ``threshold`` the smaller set goes (of equal ones the later), and when
-    the document itself goes its turn ends. Components of the pairs are independent, so the order is
-    followed inside each one: texts with equal shingle sets are one node first, since a later equal
-    set always goes.
+    the document itself goes its turn ends. Candidates come in this order: equal sets, then the
+    others by the smallest id of their set's documents, documents with equal sets together. So the
+    documents of one set share their fate but for the first, and a set is one node here, however
+    many copies it has. Components of candidates are independent; the order is followed inside each
+    one, by a task that holds the component's distinct sets.
+
+    Rows with a null id, and texts without a word, are kept. Rows of one doc_id stay together, while
+    one of its texts is kept. An empty table gives no rows.
     """
-    sets = written(hashed_shingles(docs, n).where(F.size("s") > 0), "sets")
-    keyed = sets.withColumn("k", F.xxhash64(F.array_sort("s")))
-    node = written(keyed.groupBy("k").agg(F.min("doc_id").alias("doc_id")), "nodes")
-    own = sets.join(node.select("doc_id"), "doc_id", "left_semi")
     bands, rows = banding(max(0.5, threshold - 0.2), permutations)
-    # one band at a time is one array of minima; all come from one pass over the sets
-    minima = lambda b: F.xxhash64(*[F.array_min(F.transform("s", lambda h, i=b * rows + r: F.xxhash64(h, F.lit(i)))) for r in range(rows)])
-    band = _explode_bands(own, bands, minima)
-    first = band.groupBy("b", "v").agg(F.min("doc_id").alias("head"), F.count("*").alias("size")).where("size > 1")
-    star = band.join(first, ["b", "v"]).where("doc_id <> head").select(F.col("head").alias("u"), F.col("doc_id").alias("v")).distinct()
+    sets = written(shingle_sets(docs, n, bands, rows), "sets")
+    node = written(sets.groupBy("h1", "h2").agg(F.min("doc_id").alias("doc_id"), F.min_by(F.struct("s", "bands"), "doc_id").alias("x")).select("doc_id", F.xxhash64("h1", "h2").alias("node"), "x.s", "x.bands"), "nodes")
+    band = node.select("node", F.posexplode("bands").alias("b", "v"))
+    first = band.groupBy("b", "v").agg(F.min("node").alias("head"), F.count("*").alias("size")).where("size > 1").drop("size")
+    star = band.join(first, ["b", "v"]).where("node <> head").select(F.col("head").alias("u"), F.col("node").alias("v")).distinct()
     group = written(connected_components(star), "groups")
-    member = group.select(F.col("component").alias("g"), F.col("node").alias("doc_id")).join(own, "doc_id").join(band.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("b", "v"))).alias("bands")), "doc_id")
+    member = node.join(group.select(F.col("component").alias("g"), "node"), "node")
 
     def greedy(pdf):
-        pdf = pdf.sort_values("doc_id")
-        ids, s = pdf.doc_id.tolist(), [set(x) for x in pdf.s]
+        pdf = pdf.sort_values(["doc_id", "node"])
+        s, size = [set(x) for x in pdf.s], [len(x) for x in pdf.s]
         where: dict = {}
-        keys = [[(x["b"], x["v"]) for x in bs] for bs in pdf.bands]
-        for i, bs in enumerate(keys):
-            for k in bs:
+        for i, keys in enumerate(pdf.bands):
+            for k in enumerate(keys):
                 where.setdefault(k, []).append(i)
         gone = set()
-        for i in range(len(ids)):
+        for i, keys in enumerate(pdf.bands):
             if i in gone:
                 continue
-            for j in sorted({j for k in keys[i] for j in where[k]} - {i}):
-                if j in gone or len(s[i] & s[j]) < threshold * min(len(s[i]), len(s[j])) - 1e-9:
+            for j in sorted({j for k in enumerate(keys) for j in where[k]} - {i}):
+                if j in gone or len(s[i] & s[j]) < threshold * min(size[i], size[j]) - 1e-9:
                     continue
-                if len(s[i]) >= len(s[j]):
+                if size[i] >= size[j]:
                     gone.add(j)
                 else:
                     gone.add(i)
                     break
-        return pdf[["doc_id"]].iloc[sorted(gone)]
+        return pdf[["node"]].iloc[sorted(gone)]
 
-    gone = member.groupBy("g").applyInPandas(greedy, "doc_id long")
-    kept = node.select("doc_id").join(gone, "doc_id", "left_anti").union(docs.select("doc_id").join(sets.select("doc_id"), "doc_id", "left_anti"))
-    return docs.join(kept, "doc_id", "left_semi")
-
-
-def _explode_bands(sets: DataFrame, bands: int, minima) -> DataFrame:
-    return written(sets.select("doc_id", F.explode(F.array(*[F.struct(F.lit(b).alias("b"), minima(b).alias("v")) for b in range(bands)])).alias("x")).select("doc_id", "x.b", "x.v"), "bands")
+    gone = member.groupBy("g").applyInPandas(greedy, "node long")
+    kept = written(node.select("doc_id", "node").join(gone, "node", "left_anti").select("doc_id"), "kept")
+    without = sets.select("doc_id").distinct().join(kept, "doc_id", "left_anti")
+    return docs.join(without, docs["doc_id"] == without["doc_id"], "left_anti")
 
 
 def benchmark_support(docs: DataFrame, items: DataFrame, threshold: float = 0.5, n: int = 5) -> DataFrame:
@@ -127,9 +180,6 @@ def q_shingle_counts(s, d):
 
 
 def q_near_dedup(s, d):
-    from millrace.plans.ship import ship
-
-    ship(s)
     return near_dedup(_docs(s, d)).select("doc_id")
 
 
