@@ -19,10 +19,14 @@ STOP_WORDS = {
 }
 
 
+# Fixed value: the pattern of the declared language.
+LANG = r"""(?i)<html[^>]*\slang=["']([a-zA-Z]{2})"""
+
+
 def declared_language(html: Column | str) -> Column:
     """Two letters of the lang attribute of <html> in the first 2000 characters, in lower case; '' if none."""
     c = F.col(html) if isinstance(html, str) else html
-    return F.lower(F.regexp_extract(F.substring(c, 1, 2000), r"""(?i)<html[^>]*\slang=["']([a-zA-Z]{2})""", 1))
+    return F.lower(F.regexp_extract(F.substring(c, 1, 2000), LANG, 1))
 
 
 def passes(language: Column, mode: str) -> Column:
@@ -106,12 +110,30 @@ def extract(pages: DataFrame) -> DataFrame:
     return pages.select(*rest, "html").mapInArrow(run, pages.select(*rest).schema.add("title", "string").add("text", "string"))
 
 
+def kept_language(language: Column, mode: str) -> Column:
+    """english keeps en; nonenglish drops it; a text of no known language is not English."""
+    return {"english": language == "en", "nonenglish": language != "en"}.get(mode, F.lit(True))
+
+
 def articles(pages: DataFrame, mode: str = "english", least: int = 50) -> DataFrame:
-    """Pages to articles: the cheap filter on declared language first, then extraction, length, language."""
-    some = pages.where(passes(declared_language("html"), mode))
+    """Pages to articles: the cheap filter on declared language first, then extraction, length, language.
+
+    A null page has no text and gives no article. Repeated pages give repeated articles; columns
+    called title, text, language or hostname are replaced, all others but html are kept.
+    """
+    some = pages.where(passes(declared_language(F.coalesce("html", F.lit(""))), mode))
     got = extract(some).where(F.length(strip("text")) >= least)
     got = got.withColumn("language", guess_language("text")).withColumn("hostname", host("url"))
-    return got.where({"english": F.col("language") == "en", "nonenglish": F.col("language") != "en"}.get(mode, F.lit(True)))
+    return got.where(kept_language(F.col("language"), mode))
+
+
+def extraction_counts(pages: DataFrame, mode: str = "english", least: int = 50) -> DataFrame:
+    """``total, lang_skipped, extracted, kept``: pages, those whose declared language stops them, texts long enough, articles."""
+    ok = passes(declared_language(F.coalesce("html", F.lit(""))), mode)
+    n = pages.agg(F.count("*").alias("total"), F.count_if(~ok).alias("lang_skipped"))
+    got = extract(pages.where(ok)).where(F.length(strip("text")) >= least)
+    m = got.agg(F.count("*").alias("extracted"), F.count_if(kept_language(guess_language("text"), mode)).alias("kept"))
+    return n.crossJoin(m)  # one row each
 
 
 def q_html_lang(s, d):
@@ -123,6 +145,7 @@ QUERIES = {
     "html_lang_filter": q_html_lang,
     "url_authority": lambda s, d: table(s, d, "pages").select("page_id", host("url").alias("hostname")),
     "articles": lambda s, d: articles(table(s, d, "pages")).select("page_id", "hostname", "language", "title", F.length("text").alias("n")),
+    "extraction_counters": lambda s, d: extraction_counts(table(s, d, "pages")),
     "language_guess": lambda s, d: table(s, d, "documents").select(F.col("lang"), guess_language("text").alias("guess")).groupBy("lang", "guess").agg(F.count("*").alias("n")),
 }
 
