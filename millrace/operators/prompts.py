@@ -20,10 +20,13 @@ def format_articles(cluster: DataFrame, key: str, pos: str, most: int = 50, char
 
     Only the first ``most`` articles are gathered, so a cluster's size is bounded before it becomes
     an array. Numbers are places, counting articles without text, which are left out of the block.
+    An empty or missing date falls back to a column ``day``, where there is one.
     """
     first = cluster.where(F.col(pos) < most)
     text = strip(F.coalesce("text", F.lit("")))
-    part = F.concat(F.lit("[Article "), (F.col(pos) + 1).cast("string"), F.lit("]\nTitle: "), strip(F.coalesce("title", F.lit(""))), F.lit("\nDate: "), strip(F.coalesce("date", F.lit(""))), F.lit("\n"), lede(text, chars, "..."))
+    given = F.when(F.col("date") != "", F.col("date")) if "date" in cluster.columns else F.lit(None)
+    date = F.coalesce(given, F.col("day") if "day" in cluster.columns else F.lit(""), F.lit(""))
+    part = F.concat(F.lit("[Article "), (F.col(pos) + 1).cast("string"), F.lit("]\nTitle: "), strip(F.coalesce("title", F.lit(""))), F.lit("\nDate: "), strip(date), F.lit("\n"), lede(text, chars, "..."))
     rows = first.withColumn("_part", F.when(text != "", part))
     out = rows.groupBy(key).agg(F.sort_array(F.collect_list(F.when(F.col("_part").isNotNull(), F.struct(F.col(pos), F.col("_part"))))).alias("_x"))
     return out.select(key, F.array_join(F.transform("_x", lambda x: x["_part"]), "\n\n---\n\n").alias("articles"), F.size("_x").cast("long").alias("articles_used"))
@@ -58,11 +61,16 @@ def rank_clusters(articles: DataFrame, key: str, order: str, k: int = 0) -> Data
     return dense_id(sizes.withColumn("_d", -F.col("size")), ["_d", "_o"], "rank").drop("_o", "_d")
 
 
+def first_of(articles: DataFrame, key: str, order: str, most: int) -> DataFrame:
+    """The first ``most`` rows of each group with their place ``pos``: a limit on ranks, which every task applies before the shuffle."""
+    placed = articles.drop("pos").withColumn("pos", F.row_number().over(W.partitionBy(key).orderBy(order))).where(F.col("pos") <= most)
+    return placed.withColumn("pos", F.col("pos") - 1)
+
+
 def fact_prompts(articles: DataFrame, key: str, order: str, k: int = 500, least: int = 3) -> DataFrame:
     """Prompt records of the largest clusters: idx is the rank, so skipped clusters leave gaps."""
     ranked = rank_clusters(articles, key, order, k).where(F.col("size") >= least)
-    pos = F.row_number().over(W.partitionBy(key).orderBy(order)) - 1
-    block = format_articles(articles.join(ranked.select(key), key, "left_semi").withColumn("pos", pos), key, "pos")
+    block = format_articles(first_of(articles.join(ranked.select(key), key, "left_semi"), key, order, 50), key, "pos")
     out = ranked.join(block, key).where(F.col("articles_used") >= least)
     return out.select(F.col("rank").cast("long").alias("idx"), fill(FACTS, articles="articles").alias("prompt"), F.struct(F.col(key), F.col("size").alias("article_count"), "articles_used").alias("tag"))
 
@@ -89,29 +97,39 @@ def corpus_prompts(entities: DataFrame, kind: str, line: str, pos: str, name: st
     raise ValueError(f"unknown kind {kind!r}")
 
 
-def answered(prompts: DataFrame, done: DataFrame, client: Callable[[str, int], str], seed: int = 42) -> DataFrame:
-    """Responses to prompts that have none yet: ``prompts.columns + response``.
+def asked(prompts: DataFrame, done: DataFrame, client: Callable[[str, int], str], seed: int = 42) -> DataFrame:
+    """Prompts that have no response yet, asked: ``prompts.columns + response, error``.
 
-    ``client(prompt, seed)`` is called once per prompt from Arrow batches; a call that fails leaves
-    no row, so that the next run asks again. Write the result before using it twice.
+    ``client(prompt, seed)`` is called once per prompt; a call that fails gives its error and no
+    response, and the others go on. Results leave the task a few at a time. Write the result before
+    using it twice: reading it again asks again. A null ``idx`` is never done and uses the seed as
+    it is; columns called response or error are replaced.
     """
     import pyarrow as pa
 
-    todo = prompts.join(done.select("idx").distinct(), "idx", "left_anti").select(*prompts.columns)
+    rest = [c for c in prompts.columns if c not in ("response", "error")]
+    todo = prompts.join(done.select("idx").distinct(), "idx", "left_anti").select(*rest)
 
     def ask(batches):
         for b in batches:
-            keep, said = [], []
-            for i, (idx, p) in enumerate(zip(b.column(b.schema.get_field_index("idx")).to_pylist(), b.column(b.schema.get_field_index("prompt")).to_pylist(), strict=True)):
-                try:
-                    said.append(client(p, seed + idx))
-                    keep.append(i)
-                except Exception:  # isolated: asked again by the next run
-                    continue
-            rows = b.take(pa.array(keep, pa.int32()))
-            yield rows.append_column("response", pa.array(said, pa.string()))
+            for s in range(0, b.num_rows, 16):
+                part = b.slice(s, 16)
+                said, errors = [], []
+                for idx, p in zip(part.column(part.schema.get_field_index("idx")).to_pylist(), part.column(part.schema.get_field_index("prompt")).to_pylist(), strict=True):
+                    try:
+                        said.append(client(p, seed + (idx or 0)))
+                        errors.append(None)
+                    except Exception as e:  # isolated: reported, and asked again by the next run
+                        said.append(None)
+                        errors.append(f"{type(e).__name__}: {e}"[:500])
+                yield part.append_column("response", pa.array(said, pa.string())).append_column("error", pa.array(errors, pa.string()))
 
-    return todo.mapInArrow(ask, todo.select("*").schema.add("response", "string"))
+    return todo.mapInArrow(ask, todo.select("*").schema.add("response", "string").add("error", "string"))
+
+
+def answered(prompts: DataFrame, done: DataFrame, client: Callable[[str, int], str], seed: int = 42) -> DataFrame:
+    """Responses to prompts that have none yet: ``prompts.columns + response``; failed calls give no row (``asked`` has them)."""
+    return asked(prompts, done, client, seed).where("error IS NULL").drop("error")
 
 
 def _articles(s, d):
@@ -119,7 +137,7 @@ def _articles(s, d):
 
 
 def q_cluster_prompt(s, d):
-    out = fact_prompts(_articles(s, d), "cluster_id", "doc_id", 10)
+    out = fact_prompts(_articles(s, d), "cluster_id", "doc_id")
     return out.select("idx", F.sha2("prompt", 256).alias("prompt_sha"), F.col("tag.cluster_id").alias("cluster_id"), F.col("tag.article_count").alias("article_count"), F.col("tag.articles_used").alias("articles_used"))
 
 
@@ -157,7 +175,7 @@ r AS (SELECT *, row_number() OVER (ORDER BY size DESC, o) - 1 AS idx FROM c), a
 b AS (SELECT *, string_split(text, chr(10) || chr(10))[1] AS lede FROM a WHERE pos <= 50 AND text <> ''),
 g AS (SELECT cluster_id, count(*) AS articles_used, string_agg('[Article ' || pos || ']' || chr(10) || 'Title: ' || title || chr(10) || 'Date: 2024-01-01' || chr(10) || CASE WHEN length(lede) > 512 THEN substr(lede, 1, 512) || '...' ELSE lede END, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY pos) AS articles FROM b GROUP BY 1)
 SELECT idx, sha256('Read the articles and list the facts they agree on as a JSON array of strings.' || chr(10) || chr(10) || articles) AS prompt_sha, r.cluster_id, size AS article_count, articles_used
-FROM r JOIN g USING (cluster_id) WHERE idx < 10 AND size >= 3 AND articles_used >= 3""",
+FROM r JOIN g USING (cluster_id) WHERE idx < 500 AND size >= 3 AND articles_used >= 3""",
     "topk_clusters": "SELECT label AS cluster_id, count(*) AS size, row_number() OVER (ORDER BY count(*) DESC, min(vec_id)) - 1 AS rank FROM embeddings WHERE label IS NOT NULL GROUP BY 1 QUALIFY rank < 5",
     "cluster_order": "SELECT source AS cluster_id, count(*) AS size, row_number() OVER (ORDER BY count(*) DESC, min(doc_id)) - 1 AS rank FROM documents WHERE source IS NOT NULL GROUP BY 1",
     "pair_prompts": "SELECT row_number() OVER (ORDER BY a.n_nationkey, b.n_nationkey) - 1 AS idx, a.n_nationkey AS i, b.n_nationkey AS j, 'Compare ' || a.n_name || ' with ' || b.n_name || '.' AS prompt FROM nation a JOIN nation b ON a.n_nationkey < b.n_nationkey",

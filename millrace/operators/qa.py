@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.features import question_to_feature
 from millrace.functions.text import answers_match, normalize_answer
+from millrace.operators.cleaning import dense_id
 from millrace.operators.statistics import rounded
 from millrace.sources import table
 
@@ -75,22 +76,34 @@ def requery_ids(df: DataFrame, value: str, line: str) -> DataFrame:
 
 
 def islands(df: DataFrame, idx: str) -> DataFrame:
-    """Runs of consecutive numbers: first, last and length. Breaks are found per block of numbers, so
-    no window spans the table."""
-    block = 4096
-    b = F.floor(F.col(idx) / block)
-    w = W.partitionBy("_b").orderBy(idx)
-    d = df.select(idx).distinct().withColumn("_b", b)
-    g = d.withColumn("_g", F.col(idx) - F.row_number().over(w)).groupBy("_b", "_g").agg(F.min(idx).alias("a"), F.max(idx).alias("z"))
-    # runs that touch a block's edge continue in the next block; those meet in one window over runs
-    edge = g.select("a", "z")
-    starts = edge.join(edge.select((F.col("z") + 1).alias("a")), "a", "left_anti").select(F.col("a").alias("first"))
-    ends = edge.join(edge.select((F.col("a") - 1).alias("z")), "z", "left_anti").select(F.col("z").alias("last"))
-    a = starts.select(F.row_number().over(W.orderBy("first")).alias("k"), "first")
-    z = ends.select(F.row_number().over(W.orderBy("last")).alias("k"), "last")
+    """Runs of consecutive numbers: first, last and length.
+
+    A number without its predecessor begins a run and one without its successor ends one; both lists
+    are numbered in order, and the k-th first meets the k-th last. Joins and range partitions only:
+    no window spans the table. Nulls and repeats do not count; an empty table gives no rows.
+    """
+    d = df.select(F.col(idx).cast("long").alias("x")).where("x IS NOT NULL").distinct()
+    first = d.join(d.select((F.col("x") + 1).alias("x")), "x", "left_anti")
+    last = d.join(d.select((F.col("x") - 1).alias("x")), "x", "left_anti")
+    a = dense_id(first.withColumnRenamed("x", "first"), ["first"], "k")
+    z = dense_id(last.withColumnRenamed("x", "last"), ["last"], "k")
     return a.join(z, "k").select("first", "last", (F.col("last") - F.col("first") + 1).alias("length"))
 
 
+def repeated_tuples(df: DataFrame, line: str, pos: str, value: str) -> DataFrame:
+    """Tuples of a line's values by place that several lines of two members or more share: ``values, lines``."""
+    t = df.groupBy(line).agg(F.sort_array(F.collect_list(F.struct(pos, F.col(value).alias("v")))).alias("x")).where(F.size("x") > 1)
+    t = t.select(line, F.transform("x", lambda e: e["v"]).alias("values"))
+    return t.groupBy("values").agg(F.sort_array(F.collect_set(line)).alias("lines")).where(F.size("lines") > 1)
+
+
+def name_again(df: DataFrame, value: str, line: str) -> tuple[DataFrame, DataFrame]:
+    """Lines that repeat a value of an earlier line, and the values that they must not take: those of all other lines."""
+    again = requery_ids(df.where(F.col(value).isNotNull() & (F.col(value) != "")), value, line)
+    taken = df.join(again, line, "left_anti").where(F.col(value).isNotNull() & (F.col(value) != "")).select(value).distinct()
+    return again, taken
+
+
 def _judged(s, d):
     return table(s, d, "documents").select("doc_id", "lang").join(table(s, d, "labels"), "doc_id", "left").select("doc_id", "lang", (F.col("quality") == 1).alias("correct"), (F.col("toxic") == 1).alias("under"))
 
@@ -136,6 +149,10 @@ def q_question_features(s, d):
     return unpivot(table(s, d, "part"), "p_partkey", "p_name", asked).groupBy(question_to_feature("question").alias("feature")).agg(F.count("*").alias("n"))
 
 
+def _names(s, d):
+    return table(s, d, "part").select(F.col("p_type").alias("name"), F.floor(F.col("p_partkey") / 3).cast("long").alias("line"))
+
+
 def _turns(s, d):
     c = table(s, d, "conversations")
     a = c.where("role = 'user'").select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("given"))
@@ -143,7 +160,9 @@ def _turns(s, d):
 
 
 def q_openbook(s, d):
-    t = _turns(s, d).withColumn("is_correct", F.coalesce(answers_match(F.substring("given", 1, 3), "said"), F.lit(False)))
+    # whole answers: the question itself, or, on every other asking, the reply's first sentence in other clothes
+    given = F.when(F.col("turn") % 4 == 1, F.concat(F.lit(" "), F.substring_index("said", ".", 1), F.lit("?!"))).otherwise(F.col("given"))
+    t = _turns(s, d).withColumn("is_correct", F.coalesce(answers_match(given, "said"), F.lit(False)))
     return t.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "is_correct"))).alias("x")).select("conv_id", F.array_join(F.transform("x", lambda e: F.concat(e["turn"].cast("string"), F.lit(":"), e["is_correct"].cast("string"))), ",").alias("openbook"))
 
 
@@ -167,6 +186,8 @@ QUERIES = {
     "attach_last": lambda s, d: attach(table(s, d, "customer").select(F.col("c_custkey").alias("user_id"), F.col("c_nationkey")), table(s, d, "events"), ["user_id"], "event_type", "event_id"),
     "dup_names": lambda s, d: duplicate_values(table(s, d, "documents").select(F.md5("text").alias("name"), "doc_id"), "name", "doc_id"),
     "requery_ids": lambda s, d: requery_ids(table(s, d, "documents").select("text", "doc_id"), "text", "doc_id"),
+    "repeated_tuples": lambda s, d: repeated_tuples(table(s, d, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag"), "l_orderkey", "l_linenumber", "l_returnflag").select(F.array_join("values", "").alias("flags"), F.size("lines").cast("long").alias("n_lines"), F.md5(F.array_join(F.transform("lines", lambda x: x.cast("string")), ",")).alias("lines_md5")),
+    "forbidden_names": lambda s, d: name_again(_names(s, d), "name", "line")[1],
     "islands": lambda s, d: islands(table(s, d, "labels"), "doc_id"),
 }
 _JUDGED = "(SELECT d.doc_id, lang, quality = 1 AS correct, toxic = 1 AS under FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"
@@ -183,13 +204,17 @@ SQL = {
     "support_stats": f"SELECT label, count(*) AS n_qas, round(avg(n), 6) AS mean, round(stddev_pop(n), 6) AS std, min(n) AS min, round(quantile_cont(n, 0.25), 6) AS p25, round(quantile_cont(n, 0.5), 6) AS median, round(quantile_cont(n, 0.75), 6) AS p75, max(n) AS max, count(*) FILTER (WHERE n = 0) AS n_zero FROM (SELECT label, CAST(coalesce(len(s), 0) AS INTEGER) AS n FROM {_S}) GROUP BY label",
     "unpivot_qa": " UNION ALL ".join(f"SELECT p_partkey, CAST({i} AS INTEGER) AS qa_idx, '{f}' AS feature, 'What is the {f} of ' || p_name || '?' AS question, CAST({c} AS VARCHAR) AS answer FROM part" for i, (f, c) in enumerate((("brand", "p_brand"), ("type", "p_type"), ("size", "p_size")))),
     "question_features": "SELECT f AS feature, count(*) AS n FROM part, (VALUES ('weight'), ('special attack'), ('attack'), ('hp'), ('move'), ('unknown')) v(f) GROUP BY f",
-    "openbook_match": f"""SELECT conv_id, string_agg(turn || ':' || ok, ',' ORDER BY turn) AS openbook FROM (
-SELECT u.conv_id, u.turn + 1 AS turn, coalesce(({_N('substr(u.text, 1, 3)')} <> '' AND {_N('a.text')} <> '' AND (contains({_N('a.text')}, {_N('substr(u.text, 1, 3)')}) OR contains({_N('substr(u.text, 1, 3)')}, {_N('a.text')}))), false) AS ok
-FROM (SELECT * FROM conversations WHERE role = 'user') u LEFT JOIN (SELECT * FROM conversations WHERE role = 'assistant') a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1) GROUP BY conv_id""",
+    "openbook_match": f"""SELECT conv_id, string_agg(turn || ':' || coalesce(g <> '' AND p <> '' AND (contains(p, g) OR contains(g, p)), false), ',' ORDER BY turn) AS openbook FROM (
+SELECT conv_id, turn, {_N('given')} AS g, {_N('said')} AS p FROM (
+SELECT u.conv_id, u.turn + 1 AS turn, a.text AS said, CASE WHEN (u.turn + 1) % 4 = 1 THEN ' ' || string_split(a.text, '.')[1] || '?!' ELSE u.text END AS given
+FROM (SELECT * FROM conversations WHERE role = 'user') u LEFT JOIN (SELECT * FROM conversations WHERE role = 'assistant') a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1)) GROUP BY conv_id""",
     "normalize_answer": f"SELECT conv_id, turn, md5({_N('text')}) AS answer_md5 FROM conversations",
     "positional_zip": "SELECT conv_id, unnest(t) AS tag, unnest(v) AS verdict FROM (SELECT conv_id, list_sort(list(turn) FILTER (WHERE role = 'user')) AS t, list_sort(list(turn) FILTER (WHERE role = 'assistant')) AS v FROM conversations GROUP BY 1) WHERE len(t) = len(v) AND len(t) > 0",
     "attach_last": "SELECT c_custkey AS user_id, c_nationkey, e.event_type FROM customer LEFT JOIN (SELECT user_id, arg_max(event_type, event_id) AS event_type FROM events GROUP BY 1) e ON e.user_id = c_custkey",
     "dup_names": "SELECT md5(text) AS name, count(DISTINCT doc_id) AS n_lines FROM documents GROUP BY 1 HAVING count(DISTINCT doc_id) > 1",
     "requery_ids": "SELECT doc_id FROM (SELECT doc_id, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS r FROM documents) WHERE r > 1",
+    "repeated_tuples": "SELECT f AS flags, count(*) AS n_lines, md5(string_agg(CAST(l_orderkey AS VARCHAR), ',' ORDER BY l_orderkey)) AS lines_md5 FROM (SELECT l_orderkey, string_agg(l_returnflag, '' ORDER BY l_linenumber, l_returnflag) AS f FROM lineitem GROUP BY 1 HAVING count(*) > 1) GROUP BY 1 HAVING count(*) > 1",
+    "forbidden_names": """WITH n AS (SELECT p_type AS name, p_partkey // 3 AS line FROM part), f AS (SELECT name, min(line) AS first FROM n GROUP BY 1), a AS (SELECT DISTINCT line FROM n JOIN f USING (name) WHERE line > first)
+SELECT DISTINCT name FROM n WHERE line NOT IN (SELECT line FROM a)""",
     "islands": "SELECT min(doc_id) AS first, max(doc_id) AS last, count(*) AS length FROM (SELECT doc_id, doc_id - row_number() OVER (ORDER BY doc_id) AS g FROM (SELECT DISTINCT doc_id FROM labels)) GROUP BY g",
 }

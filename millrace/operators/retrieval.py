@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from millrace.functions.text import word_count
 from millrace.plans.graph import connected_components, thinned
 from millrace.plans.ship import ship
 from millrace.plans.work import written
@@ -17,64 +18,87 @@ def dot(a: str, b: str) -> Column:
     return F.aggregate(F.zip_with(F.col(a).cast("array<double>"), F.col(b).cast("array<double>"), lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
 
 
-def _matrix(column) -> np.ndarray:
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 0)
+#: Query vectors times k (at least 100) of one pass: more queries are taken in several passes, so that what is sent
+#: to every task is bounded. Rows and columns of a tile of similarities.
+PASS_CELLS, DOC_TILE, QUERY_TILE = 4_000_000, 4096, 1024
 
 
-#: Most query vectors of one pass; more are taken in several passes, so that what is sent to every task is bounded.
-QUERY_ROWS = 20_000
+def finite(vector: str = "embedding") -> Column:
+    """Non-null vectors, not empty, all of whose components are finite."""
+    return F.coalesce((F.size(vector) > 0) & F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))), F.lit(False))
+
+
+def _by_length(column) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """(length, rows, matrix) for each vector length in a list column."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    size = column.value_lengths().to_numpy()
+    flat, off = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64), np.concatenate([[0], np.cumsum(size)])
+    out = []
+    for d in np.unique(size).tolist():
+        rows = np.flatnonzero(size == d)
+        out.append((d, rows, flat[(off[:-1][rows, None] + np.arange(d)).ravel()].reshape(-1, d)))
+    return out
 
 
 def topk_or_threshold(queries: DataFrame, docs: DataFrame, k: int, least: float) -> DataFrame:
     """``queries(query_id, embedding)``, ``docs(doc_id, embedding)`` -> ``query_id, doc_id, sim``.
 
-    Per query: its k most similar documents (ties to the smaller id) and all with ``sim >= least``.
-    The stated query set meets all documents in blocks: each task multiplies its batch of documents
-    with the queries, keeps what could be in either set, and a window over those few rows finishes.
-    Similarities are rounded to 6 decimals before they are compared.
+    Per query vector: its k most similar documents (ties to the smaller id) and all with ``sim >=
+    least``. The stated query set meets all documents in blocks: each task multiplies tiles of
+    documents and queries, keeps of a tile what could be in either set, given the best k-th
+    similarity it has seen so far, and a window over those few rows finishes. What a task holds is a
+    tile and one number a query. Similarities are rounded to 6 decimals before they are compared.
+
+    Null ids, and vectors that are null, empty or hold null or non-finite components, take no part;
+    vectors of different lengths are not compared. Several vectors of one query_id each have their
+    k, and a pair counts once with its highest similarity, as do repeated documents. Empty tables
+    give no rows.
     """
-    q = queries.where("query_id IS NOT NULL AND embedding IS NOT NULL").orderBy("query_id").limit(QUERY_ROWS + 1).toPandas()
-    if len(q) > QUERY_ROWS:
-        return _blocked(queries, docs, k, least)
-    if not len(q):
-        return docs.sparkSession.createDataFrame([], "query_id long, doc_id long, sim double")
-    ids, m = q.query_id.to_numpy(), np.stack(q.embedding.to_numpy()).astype(np.float64)
-    ship(docs.sparkSession)
-    sent = docs.sparkSession.sparkContext.broadcast((ids, m))
+    spark = docs.sparkSession
+    ship(spark)
+    asked = queries.where("query_id IS NOT NULL").where(finite()).select(F.col("query_id").cast("long").alias("query_id"), "embedding").distinct()
+    asked = written(asked, "queries")
+    n = max(1, -(-asked.count() * max(100, k) // PASS_CELLS))
+    found = docs.where("doc_id IS NOT NULL").where(finite()).select(F.col("doc_id").cast("long").alias("doc_id"), "embedding")
+    out = None
+    for i in range(n):
+        some = (asked if n == 1 else asked.where(F.pmod(F.xxhash64("query_id"), F.lit(n)) == i)).toArrow()
+        one = _best(_scored(some, found, k, least), k, least)
+        out = one if out is None else out.union(one)
+    return out.groupBy("query_id", "doc_id").agg(F.max("sim").alias("sim"))
+
+
+def _scored(queries: pa.Table, docs: DataFrame, k: int, least: float) -> DataFrame:
+    ids = queries.column("query_id").to_numpy()
+    sent = docs.sparkSession.sparkContext.broadcast((ids, {d: (r, m) for d, r, m in _by_length(queries.column("embedding"))}))
 
     def score(batches):
-        ids, m = sent.value
+        ids, by = sent.value
+        floor = np.full(len(ids), -np.inf)  # a k-th best similarity that has been seen
         for b in batches:
             doc = b.column(b.schema.get_field_index("doc_id")).to_numpy()
-            x = _matrix(b.column(b.schema.get_field_index("embedding")))
-            if not len(doc):
-                continue
-            sim = np.round(x @ m.T, 6)
-            order = np.lexsort((doc[:, None] + np.zeros_like(sim), -sim), axis=0)
-            keep = sim >= least
-            keep[order[:k], np.arange(sim.shape[1])] = True
-            i, j = np.nonzero(keep)
-            yield pa.RecordBatch.from_arrays([pa.array(ids[j]), pa.array(doc[i]), pa.array(sim[i, j])], ["query_id", "doc_id", "sim"])
-
-    near = docs.where("doc_id IS NOT NULL AND embedding IS NOT NULL").select("doc_id", "embedding").mapInArrow(score, "query_id long, doc_id long, sim double")
-    return _best(near, k, least)
+            for d, rows, x in _by_length(b.column(b.schema.get_field_index("embedding"))):
+                if d not in by:
+                    continue
+                at, m = by[d]
+                for s in range(0, len(rows), DOC_TILE):
+                    for t in range(0, len(at), QUERY_TILE):
+                        own, q = rows[s : s + DOC_TILE], at[t : t + QUERY_TILE]
+                        sim = np.round(x[s : s + DOC_TILE] @ m[t : t + QUERY_TILE].T, 6)
+                        if 0 < k <= len(own):
+                            floor[q] = np.maximum(floor[q], -np.partition(-sim, k - 1, axis=0)[k - 1])
+                        i, j = np.nonzero(sim >= (np.minimum(floor[q], least) if k else least))
+                        if len(i):
+                            yield pa.RecordBatch.from_arrays([pa.array(q[j]), pa.array(ids[q[j]]), pa.array(doc[own[i]]), pa.array(sim[i, j])], ["vector", "query_id", "doc_id", "sim"])
+
+    return docs.mapInArrow(score, "vector long, query_id long, doc_id long, sim double")
 
 
 def _best(near: DataFrame, k: int, least: float) -> DataFrame:
-    r = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("sim"), "doc_id"))
+    near = near.distinct()
+    r = F.row_number().over(W.partitionBy("vector").orderBy(F.desc("sim"), "doc_id"))
     top = near.withColumn("r", r).where(F.col("r") <= k).drop("r")
-    return top.union(near.where(F.col("sim") >= least)).distinct()
-
-
-def _blocked(queries: DataFrame, docs: DataFrame, k: int, least: float) -> DataFrame:
-    """Queries in blocks by hash; each block takes one pass."""
-    n = -(-queries.count() // (QUERY_ROWS // 2))
-    parts = [topk_or_threshold(queries.where(F.pmod(F.xxhash64("query_id"), F.lit(n)) == i), docs, k, least) for i in range(n)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.union(p)
-    return out
+    return top.union(near.where(F.col("sim") >= least)).select("query_id", "doc_id", "sim")
 
 
 def retrieve(channels: list[DataFrame], docs: DataFrame, k: int, least: float) -> DataFrame:
@@ -89,15 +113,24 @@ def retrieve(channels: list[DataFrame], docs: DataFrame, k: int, least: float) -
 def encode(texts: DataFrame, key: str, text: str, dims: int = 64) -> DataFrame:
     """``key, embedding``: unit vectors by feature hashing of lower-case words; the place of a learned encoder.
 
-    Every word adds +1 or -1, by its hash, to one of ``dims`` places: built-in functions alone. A
-    text without words has no vector (null).
+    Every word adds +1 or -1, by its MD5, to one of ``dims`` places: built-in functions alone. A
+    text without words has no vector (null), and neither has one whose words cancel out. Rows of one
+    key are one text; a null key is a key. An empty table gives no rows.
     """
     words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
-    w = texts.select(key, F.explode_outer(words).alias("w")).groupBy(key, F.pmod(F.xxhash64("w"), F.lit(dims)).alias("i")).agg(F.sum(F.when(F.col("w").isNotNull(), F.when(F.pmod(F.hash("w"), F.lit(2)) == 0, 1.0).otherwise(-1.0))).alias("x"))
-    at = w.groupBy(key).agg(F.map_from_entries(F.collect_list(F.when(F.col("x").isNotNull(), F.struct("i", "x")))).alias("m"))
-    v = at.select(key, F.transform(F.sequence(F.lit(0).cast("long"), F.lit(dims - 1).cast("long")), lambda i: F.coalesce(F.try_element_at("m", i), F.lit(0.0))).alias("v"))
-    size = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
-    return v.withColumn("n", size).select(key, F.when(F.col("n") > 0, F.transform("v", lambda x: (x / F.col("n")).cast("float"))).alias("embedding"))
+    w = texts.select(key, F.explode_outer(words).alias("w")).groupBy(key, "w").agg(F.count("*").alias("n"))
+    digit = lambda a, b: F.conv(F.substring(F.md5("w"), a, b), 16, 10).cast("long")
+    w = w.groupBy(key, (digit(1, 6) % dims).alias("i")).agg(F.sum(F.when(F.col("w").isNotNull(), F.when(digit(7, 1) < 8, F.col("n")).otherwise(-F.col("n")))).alias("x"))
+    size = F.sqrt(F.sum(F.col("x") * F.col("x")).cast("double"))
+    v = w.groupBy(key).agg(F.map_from_entries(F.collect_list(F.when(F.col("x").isNotNull(), F.struct("i", "x")))).alias("m"), size.alias("n"))
+    each = F.transform(F.sequence(F.lit(0).cast("long"), F.lit(dims - 1).cast("long")), lambda i: (F.coalesce(F.try_element_at("m", i), F.lit(0)) / F.col("n")).cast("float"))
+    return v.select(key, F.when(F.col("n") > 0, each).alias("embedding"))
+
+
+def truncated(texts: DataFrame, text: str, most: int) -> DataFrame:
+    """``truncated, n, share``: texts of more than ``most`` words, all texts, and their ratio."""
+    n = texts.agg(F.count_if(word_count(text) > most).alias("truncated"), F.count("*").alias("n"))
+    return n.select("truncated", "n", (F.col("truncated") / F.greatest("n", F.lit(1))).alias("share"))
 
 
 def shard(df: DataFrame, order: str, index: int, total: int) -> DataFrame:
@@ -128,8 +161,7 @@ def event_clusters(vectors: DataFrame, days: int = 3, k: int = 30, least: float
     """
     spark = vectors.sparkSession
     ship(spark)
-    finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    v = vectors.where("doc_id IS NOT NULL AND day IS NOT NULL AND embedding IS NOT NULL").where(finite & F.exists("embedding", lambda x: x != 0))
+    v = vectors.where("doc_id IS NOT NULL AND day IS NOT NULL").where(finite() & F.exists("embedding", lambda x: x != 0))
     w = v.select("doc_id", "embedding", F.explode(F.transform(F.sequence(F.lit(0), F.lit(days - 1)), lambda i: F.unix_date(F.date_sub("day", i)))).alias("window"))
     nodes = written(w.groupBy("window", "embedding").agg(F.min("doc_id").cast("long").alias("id")), "event-nodes")
     copies = w.join(nodes, ["window", "embedding"]).where("doc_id <> id").select(F.col("id").alias("u"), F.col("doc_id").cast("long").alias("v"))
@@ -187,10 +219,10 @@ def _vectors(s, d):
 
 
 def q_retrieve(s, d):
+    """Every hundredth row asks all rows, with its own vector and with that of the row after it."""
     v = _vectors(s, d)
-    docs = v.where("vec_id % 2 = 1").select(F.col("vec_id").alias("doc_id"), "embedding")
-    channel = F.coalesce(F.pmod("label", F.lit(2)), F.lit(0))  # every query has one, without a label too
-    ask = [v.where((F.col("vec_id") % 100 == 0) & (channel == c)).select(F.col("vec_id").alias("query_id"), "embedding") for c in (0, 1)]
+    docs = v.select(F.col("vec_id").alias("doc_id"), "embedding")
+    ask = [v.where((F.col("vec_id") - c) % 100 == 0).select((F.col("vec_id") - c).alias("query_id"), "embedding") for c in (0, 1)]
     return retrieve(ask, docs, 10, 0.4)
 
 
@@ -201,18 +233,30 @@ def q_similarity(s, d):
 
 
 def q_encode(s, d):
-    return encode(table(s, d, "documents"), "doc_id", "text").select("doc_id", F.round(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")), 3).alias("norm"))
+    v = encode(table(s, d, "documents"), "doc_id", "text")
+    return v.select("doc_id", F.array_join(F.transform("embedding", lambda x: F.round(x.cast("double") * 1000).cast("long").cast("string")), ",").alias("vector"))
+
+
+def q_truncated(s, d):
+    return truncated(table(s, d, "documents"), "text", 256).select("truncated", "n", F.round("share", 6).alias("share"))
 
 
 def q_events(s, d):
-    return event_clusters(_vectors(s, d).select(F.col("vec_id").alias("doc_id"), F.date_add(F.lit("2024-01-01").cast("date"), (F.col("vec_id") % 30).cast("int")).alias("day"), "embedding"))
+    return event_clusters(_vectors(s, d).select(F.col("vec_id").alias("doc_id"), F.date_add(F.lit("2024-01-01").cast("date"), (F.col("vec_id") % 30).cast("int")).alias("day"), "embedding"), least=0.3)
 
 
-QUERIES = {"retrieve_topk_union": q_retrieve, "similarity": q_similarity, "encode": q_encode, "event_clusters": q_events}
+QUERIES = {"truncated_ratio": q_truncated, "retrieve_topk_union": q_retrieve, "similarity": q_similarity, "encode": q_encode, "event_clusters": q_events}
 SQL = {
-    "retrieve_topk_union": """WITH p AS (SELECT q.vec_id AS query_id, d.vec_id AS doc_id, round(list_dot_product(CAST(q.embedding AS DOUBLE[]), CAST(d.embedding AS DOUBLE[])), 6) AS sim
-  FROM (SELECT * FROM embeddings WHERE vec_id % 100 = 0) q, (SELECT * FROM embeddings WHERE vec_id % 2 = 1) d),
-r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY sim DESC, doc_id) AS r FROM p) SELECT query_id, doc_id, sim FROM r WHERE r <= 10 OR sim >= 0.4""",
+    "retrieve_topk_union": """WITH q AS (SELECT vec_id AS query_id, 0 AS c, embedding FROM embeddings WHERE vec_id % 100 = 0 UNION ALL SELECT vec_id - 1, 1, embedding FROM embeddings WHERE (vec_id - 1) % 100 = 0),
+p AS (SELECT query_id, c, d.vec_id AS doc_id, round(list_dot_product(CAST(q.embedding AS DOUBLE[]), CAST(d.embedding AS DOUBLE[])), 6) AS sim FROM q, embeddings d),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id, c ORDER BY sim DESC, doc_id) AS r FROM p) SELECT query_id, doc_id, max(sim) AS sim FROM r WHERE r <= 10 OR sim >= 0.4 GROUP BY 1, 2""",
     "similarity": "SELECT vec_id, round(list_dot_product(CAST(e.embedding AS DOUBLE[]), CAST(q AS DOUBLE[])), 6) AS sim FROM embeddings e, (SELECT embedding AS q FROM embeddings WHERE vec_id = 0)",
-    "encode": "SELECT doc_id, CASE WHEN regexp_matches(text, '[\\p{L}\\p{N}]') THEN 1.0 END AS norm FROM documents",
+    "encode": """WITH w AS (SELECT doc_id, unnest(list_filter(string_split_regex(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda x: x <> '')) AS w FROM documents),
+h AS (SELECT doc_id, CAST('0x' || substr(md5(w), 1, 6) AS BIGINT) % 64 AS i, CASE WHEN substr(md5(w), 7, 1) IN ('0', '1', '2', '3', '4', '5', '6', '7') THEN 1 ELSE -1 END AS x FROM w),
+g AS (SELECT doc_id, i, sum(x) AS x FROM h GROUP BY 1, 2), n AS (SELECT doc_id, sqrt(CAST(sum(x * x) AS DOUBLE)) AS n FROM g GROUP BY 1 HAVING sum(x * x) > 0),
+e AS (SELECT n.doc_id, string_agg(CAST(CAST(round(CAST(CAST(coalesce(g.x, 0) / n.n AS FLOAT) AS DOUBLE) * 1000) AS BIGINT) AS VARCHAR), ',' ORDER BY k.i) AS vector
+  FROM n CROSS JOIN (SELECT unnest(range(64)) AS i) k LEFT JOIN g ON g.doc_id = n.doc_id AND g.i = k.i GROUP BY 1)
+SELECT documents.doc_id, vector FROM documents LEFT JOIN e ON e.doc_id = documents.doc_id""",
+    "truncated_ratio": """WITH w AS (SELECT len(list_filter(string_split_regex(coalesce(text, ''), '\\s+'), lambda x: x <> '')) AS n FROM documents)
+SELECT count(*) FILTER (WHERE n > 256) AS truncated, count(*) AS n, round(count(*) FILTER (WHERE n > 256) / greatest(count(*), 1), 6) AS share FROM w""",
 }

@@ -5,6 +5,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace.operators.cleaning import dense_id
+from millrace.plans.names import fresh, quoted
 from millrace.plans.work import written
 from millrace.sources import table
 
@@ -15,19 +16,38 @@ def seeded(*cols, seed: int):
 
 
 def split_assign(df: DataFrame, key: str, seed: int = 42, train: float = 0.9, val: float = 0.05) -> DataFrame:
-    """``split``: the first int(n * train) rows in seeded order are train, the next int(n * val) val, the rest test."""
-    ranked = dense_id(df.withColumn("_k", seeded(key, seed=seed)), ["_k", key], "_r")
-    n = df.agg(F.count("*").alias("_n"))
-    a, b = F.floor(F.col("_n") * train + 1e-9), F.floor(F.col("_n") * val + 1e-9)
-    out = ranked.crossJoin(F.broadcast(n))  # one row
-    return out.withColumn("split", F.when(F.col("_r") < a, "train").when(F.col("_r") < a + b, "val").otherwise("test")).drop("_k", "_r", "_n")
+    """``split``: the first int(n * train) rows in seeded order are train, the next int(n * val) val, the rest test.
+
+    Counts are exact, and the same on any partitioning while keys are distinct; repeated rows are
+    rows of their own, and a null key is a key. A column called split is replaced. An empty table
+    gives no rows.
+    """
+    df = df.drop("split")
+    k, rank, n = fresh(df, "k", "rank", "n")
+    ranked = dense_id(df.withColumn(k, seeded(key, seed=seed)), [k, key], rank)
+    size = df.agg(F.count("*").alias(n))
+    a, b = F.floor(F.col(n) * train + 1e-9), F.floor(F.col(n) * val + 1e-9)
+    out = ranked.crossJoin(F.broadcast(size))  # one row
+    return out.select(*quoted(*df.columns), F.when(F.col(rank) < a, "train").when(F.col(rank) < a + b, "val").otherwise("test").alias("split"))
 
 
 def stratified_halves(df: DataFrame, group: str, key: str, seed: int = 42) -> DataFrame:
-    """``half``: in seeded order within its group, the first floor(n / 2) rows are val, the others test."""
-    w = W.partitionBy(group)
-    r = F.row_number().over(w.orderBy(seeded(key, seed=seed), key))
-    return df.withColumn("half", F.when(r <= F.floor(F.count("*").over(w) / 2), "val").otherwise("test"))
+    """``half``: in seeded order within its group, the first floor(n / 2) rows are val, the others test.
+
+    All rows are numbered by group and seeded key over range partitions; a group's first number and
+    size are one row, so the largest group is spread like any other. A null group is a group.
+    """
+    seed_, rank, lo, n, half = fresh(df, "seed", "rank", "lo", "n", "half")
+    ranked = dense_id(df.withColumn(seed_, seeded(key, seed=seed)), [group, seed_, key], rank)
+    sizes = ranked.groupBy(F.col(group).alias(half)).agg(F.min(rank).alias(lo), F.count("*").alias(n))
+    out = ranked.join(sizes, F.col(group).eqNullSafe(F.col(half)))
+    return out.select(*quoted(*df.columns), F.when(F.col(rank) - F.col(lo) < F.floor(F.col(n) / 2), "val").otherwise("test").alias("half"))
+
+
+def shuffled(df: DataFrame, key: str, name: str, seed: int = 42) -> DataFrame:
+    """Adds a place from 0 in an order that follows from the seed and the key, on any partitioning."""
+    (k,) = fresh(df, "k")
+    return dense_id(df.withColumn(k, seeded(key, seed=seed)), [k, key], name).drop(k)
 
 
 def slices(corpus: DataFrame, needed: DataFrame, clustered: DataFrame, key: str) -> DataFrame:
@@ -50,6 +70,20 @@ def best_per_entity(df: DataFrame, entity: str, score: str, order: str) -> DataF
     return best.select(entity, (-F.col("b.o")).alias(order), F.col(f"b.{score}").alias(score))
 
 
+def best_covered(articles: DataFrame, entities: DataFrame) -> DataFrame:
+    """One article of each entity: the one whose first tag covers most of the entity's features, the first among ties.
+
+    ``articles(article_idx, tag array<struct<idx, info array<string>>>)``, ``entities(idx, features
+    array<string>)`` -> ``idx, article_idx, score``. Articles without a tag and entities without an
+    article are left out. A partial aggregate keeps one row a task and entity.
+    """
+    a = articles.where(F.size("tag") > 0).select("article_idx", F.col("tag")[0]["idx"].alias("idx"), F.col("tag")[0]["info"].alias("info"))
+    j = a.join(entities.select("idx", "features"), "idx")
+    score = F.size(F.array_intersect(F.coalesce("info", F.array().cast("array<string>")), "features"))
+    best = j.groupBy("idx").agg(F.max(F.struct(score.alias("score"), (-F.col("article_idx")).alias("o"))).alias("b"))
+    return best.select("idx", (-F.col("b.o")).alias("article_idx"), F.col("b.score").cast("long").alias("score"))
+
+
 def last_wins(df: DataFrame, key: list[str], value: str, order: str) -> DataFrame:
     """The value of the last row of each key."""
     return df.groupBy(*key).agg(F.max_by(value, order).alias(value))
@@ -96,7 +130,18 @@ def q_balanced(s, d):
     return balanced_sample(pairs, 100)
 
 
+def _covered(s, d):
+    """Every order is an article of its customer; the flags of its lines are what it covers."""
+    info = table(s, d, "lineitem").groupBy(F.col("l_orderkey").alias("article_idx")).agg(F.collect_set("l_returnflag").alias("f"), F.collect_set("l_linestatus").alias("g"))
+    o = table(s, d, "orders").select(F.col("o_orderkey").alias("article_idx"), F.col("o_custkey").alias("idx"))
+    a = o.join(info, "article_idx", "left").select("article_idx", F.array(F.struct("idx", F.concat("f", "g").alias("info")), F.struct(F.lit(0).cast("long").alias("idx"), F.array(F.lit("A")).alias("info"))).alias("tag"))
+    e = table(s, d, "customer").select(F.col("c_custkey").alias("idx"), F.when(F.col("c_custkey") % 2 == 0, F.array(*map(F.lit, "ANF"))).otherwise(F.array(*map(F.lit, "RO"))).alias("features"))
+    return best_covered(a, e)
+
+
 QUERIES = {
+    "best_covered": _covered,
+    "shuffled": lambda s, d: shuffled(table(s, d, "documents").select("doc_id"), "doc_id", "place", 7),
     "split_assign": lambda s, d: split_assign(table(s, d, "documents").select("doc_id"), "doc_id"),
     "split_counts": lambda s, d: split_assign(table(s, d, "documents").select("doc_id"), "doc_id").groupBy("split").agg(F.count("*").alias("n")),
     "stratified_halves": lambda s, d: stratified_halves(table(s, d, "documents").select("doc_id", "source"), "source", "doc_id"),
@@ -109,6 +154,10 @@ QUERIES = {
     "balanced_sample": q_balanced,
 }
 SQL = {
+    "best_covered": """WITH i AS (SELECT l_orderkey, list(DISTINCT l_returnflag) AS f, list(DISTINCT l_linestatus) AS g FROM lineitem GROUP BY 1),
+a AS (SELECT o_orderkey, o_custkey, len(list_filter(list_concat(coalesce(f, []), coalesce(g, [])), lambda x: list_contains(CASE WHEN o_custkey % 2 = 0 THEN ['A', 'N', 'F'] ELSE ['R', 'O'] END, x))) AS score FROM orders LEFT JOIN i ON l_orderkey = o_orderkey WHERE o_custkey IN (SELECT c_custkey FROM customer))
+SELECT o_custkey AS idx, o_orderkey AS article_idx, score FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY score DESC, o_orderkey) AS r FROM a) WHERE r = 1""",
+    "shuffled": "SELECT doc_id, row_number() OVER (ORDER BY md5('7|' || doc_id), doc_id) - 1 AS place FROM documents",
     "split_assign": """WITH r AS (SELECT doc_id, row_number() OVER (ORDER BY md5('42|' || doc_id), doc_id) - 1 AS r, count(*) OVER () AS n FROM documents)
 SELECT doc_id, CASE WHEN r < floor(n * 0.9 + 1e-9) THEN 'train' WHEN r < floor(n * 0.9 + 1e-9) + floor(n * 0.05 + 1e-9) THEN 'val' ELSE 'test' END AS split FROM r""",
     "split_counts": """WITH r AS (SELECT doc_id, row_number() OVER (ORDER BY md5('42|' || doc_id), doc_id) - 1 AS r, count(*) OVER () AS n FROM documents)

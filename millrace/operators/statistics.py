@@ -34,7 +34,7 @@ def histogram(df: DataFrame, value: str, edges: int = 50) -> DataFrame:
     return bins.select(F.least(F.floor(F.col(value) / width), F.lit(edges - 2)).cast("long").alias("bin")).groupBy("bin").agg(F.count("*").alias("n"))
 
 
-def density(df: DataFrame, value: str, points: int = 101, factor: float = 0.15) -> DataFrame:
+def density(df: DataFrame, value: str, points: int = 1000, factor: float = 0.15) -> DataFrame:
     """Gaussian kernel density of values clipped at p99 + 1, on an even grid; values are counted first."""
     top = df.agg((F.percentile(value, F.lit(0.99)) + 1).alias("top"))
     clipped = df.crossJoin(F.broadcast(top)).select(F.least(F.col(value).cast("double"), "top").alias("v"), "top")
@@ -82,7 +82,7 @@ SQL = {
     "token_hist": f"SELECT CAST(least(floor(n_words / (top / 49)), 48) AS BIGINT) AS bin, count(*) AS n FROM {_N}, (SELECT greatest(50.0::DOUBLE, quantile_cont(n_words, 0.99) + 1) AS top FROM {_N}) WHERE n_words BETWEEN 0 AND top GROUP BY 1",
     "kde_grid": f"""WITH t AS (SELECT quantile_cont(n_words, 0.99) + 1 AS top FROM {_N}), v AS (SELECT least(CAST(n_words AS DOUBLE), top) AS v, top FROM {_N}, t),
 s AS (SELECT count(*) AS n, stddev_samp(v) * 0.15 AS h, max(top) AS top FROM v), c AS (SELECT v, count(*) AS w FROM v GROUP BY v),
-g AS (SELECT n, h, CAST(i AS INTEGER) AS i, top * i / 100 AS x FROM s, (SELECT unnest(range(101)) AS i))
+g AS (SELECT n, h, CAST(i AS INTEGER) AS i, top * i / 999 AS x FROM s, (SELECT unnest(range(1000)) AS i))
 SELECT i, round(x, 9) AS x, round(sum(w * exp(-0.5 * pow((x - v) / h, 2))) / max(n * h) / sqrt(2 * pi()), 9) AS density FROM c, g GROUP BY i, x""",
     "stat_grids": " UNION ALL ".join(f"SELECT '{v}' AS attribute, round(avg({v}), 6) AS mean, round(stddev_samp({v}), 6) AS std, CAST(greatest(floor(max({v})) - floor(min({v})), 0) AS BIGINT) AS n_values FROM part" for v in ("p_size", "p_retailprice")),
 }

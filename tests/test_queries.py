@@ -43,6 +43,5 @@ def test_same_as_duckdb(spark, duck, folder, name):
     assert rows([tuple(r) for r in df.collect()], df.columns) == rows(want.fetchall(), columns)
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
-def test_runs(spark, folder, name):
-    assert QUERIES[name](spark, folder).count() >= 0
+def test_every_other_query_has_a_test_of_its_own():
+    assert set(QUERIES) - set(SQL) == {"near_dedup", "cleanup_near", "articles", "extraction_counters", "balanced_sample", "generate_entities", "event_clusters", "subword_counts", "subword_stats_by_lang"}
