@@ -35,7 +35,8 @@ class WordIds:
 
     Words are encoded by the library, many at a time, and remembered. Splitting into words is done
     here only for texts of printable Latin-1 characters, where it is the tokenizer's own pattern on
-    lower case; any other text goes to the library whole.
+    lower case; any other text, and one that holds the string of a special token, goes to the
+    library whole.
     """
 
     _split = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^ \t\n\r\xa0{_L}{_N}]+")
@@ -45,7 +46,7 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         vocab = self.tokenizer.get_vocab()
         self.last = np.zeros(max(vocab.values()) + 1, bool)  # tokens that end a word
         self.last[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
@@ -66,7 +67,7 @@ class WordIds:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         odd, split = self._odd, self._split
-        words = [None if odd.search(t) else split.findall(t.lower()) for t in texts]
+        words = [None if odd.search(t) or any(x in t for x in self.special) else split.findall(t.lower()) for t in texts]
         young, old = self.young, self.old
         fresh = []
         for w in set().union(*(ws for ws in words if ws)).difference(young):
