@@ -3,6 +3,8 @@
 import re
 import unicodedata
 import zlib
+from itertools import compress, count
+from operator import not_
 
 import numpy as np
 import pyarrow as pa
@@ -39,17 +41,18 @@ class WordIds:
     library whole.
     """
 
-    _split = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^ \t\n\r\xa0{_L}{_N}]+")
+    # no two alternatives begin with the same character, but those that begin with an apostrophe
+    _split = re.compile(rf"[{_L}]+|[{_N}]|'s|'t|'re|'ve|'m|'ll|'d|[^ \t\n\r\xa0{_L}{_N}]+")
     _odd = re.compile(r"[^\t\n\r\x20-\x7e\xa0-\xff]")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         vocab = self.tokenizer.get_vocab()
         self.last = np.zeros(max(vocab.values()) + 1, bool)  # tokens that end a word
         self.last[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -66,11 +69,12 @@ class WordIds:
         return [raw[s:e] for s, e in zip(ends[:-1], ends[1:], strict=True)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        odd, split = self._odd, self._split
-        words = [None if odd.search(t) or any(x in t for x in self.special) else split.findall(t.lower()) for t in texts]
-        young, old = self.young, self.old
+        odd, split, young, old = self._odd.search, self._split.findall, self.young, self.old
+        words = [None if odd(t) or any(x in t for x in self.special) else split(t.lower()) for t in texts]
+        found = [None if ws is None else list(map(young.get, ws)) for ws in words]
+        gaps = [None if f is None else list(compress(count(), map(not_, f))) for f in found]  # no word is without an id
         fresh = []
-        for w in set().union(*(ws for ws in words if ws)).difference(young):
+        for w in {ws[i] for ws, at in zip(words, gaps, strict=True) if at for i in at}:
             if w in old:
                 young[w] = old[w]
             else:
@@ -78,7 +82,10 @@ class WordIds:
         for s in range(0, len(fresh), 2048):
             part = fresh[s : s + 2048]
             young.update(zip(part, self._words(part), strict=True))
-        out = [self._whole(t) if ws is None else b"".join(map(young.__getitem__, ws)) for t, ws in zip(texts, words, strict=True)]
+        for ws, f, at in zip(words, found, gaps, strict=True):
+            for i in at or ():
+                f[i] = young[ws[i]]
+        out = [self._whole(t) if f is None else b"".join(f) for t, f in zip(texts, found, strict=True)]
         if len(young) > REMEMBERED:
             self.young, self.old = {}, young
         return out
