@@ -148,13 +148,21 @@ class Reader:
 
 
 def sample(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, list[str]]:
-    """Training windows: at most SAMPLE_DOCS documents a language, by a hash of their id, and at most
-    SAMPLE_WINDOWS evenly spaced windows of SAMPLE_BYTES bytes of each."""
-    fit = docs.where("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL").where(~held_out())
-    letters = fit.where(F.col("text").rlike(r"\p{L}"))
-    take = letters.select("doc_id", "lang", F.row_number().over(W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")).alias("r")).where(F.col("r") <= SAMPLE_DOCS)
+    """Training windows: at most SAMPLE_DOCS documents a language, those of the least hashes of their
+    ids, and at most SAMPLE_WINDOWS evenly spaced windows of SAMPLE_BYTES bytes of each.
+
+    A language's documents are counted first, so that only hashes below a bound that about ten times
+    the sample meets go on: what is shuffled, ranked and collected is a few thousand windows a
+    language, whatever the size of the table and however common one language is.
+    """
+    fit = docs.where("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL").where(~held_out()).where(F.col("text").rlike(r"\p{L}"))
+    n = fit.groupBy("lang").agg(F.count("*").alias("of"))  # one row a language
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 52))
     cut = F.transform(F.sequence(F.lit(0), F.lit(SAMPLE_WINDOWS - 1)), lambda i: F.substring(F.col("text"), (F.length("text") * i / SAMPLE_WINDOWS).cast("int") + 1, F.lit(SAMPLE_BYTES)))
-    rows = fit.join(take.select("doc_id", "lang"), ["doc_id", "lang"], "left_semi").select("doc_id", "lang", F.array_distinct(cut).alias("cut")).orderBy("lang", "doc_id").collect()
+    near = fit.join(F.broadcast(n), "lang").where(place.cast("double") * F.col("of") <= 10.0 * SAMPLE_DOCS * (1 << 52))
+    near = near.select("lang", "doc_id", place.alias("place"), F.array_distinct(cut).alias("cut"))
+    rank = F.row_number().over(W.partitionBy("lang").orderBy("place", "doc_id", "cut"))
+    rows = near.withColumn("r", rank).where(F.col("r") <= SAMPLE_DOCS).orderBy("lang", "doc_id", "cut").collect()
     labels = sorted({r.lang for r in rows})
     x, y = [], []
     for r in rows:
