@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.pairing import group_links
-from millrace.llm.shingles import blocks, minhashes, shingle_hashes
+from millrace.functions.ngrams import blocks, minhashes, shingle_hashes
 from millrace.llm.streams import forest, lists, runs
 from millrace.plans.graph import connected_components
 from millrace.plans.work import written

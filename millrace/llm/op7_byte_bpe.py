@@ -11,7 +11,7 @@ import public_tokenizers
 import regex
 from pyspark.sql import DataFrame
 
-from millrace.llm.shingles import blocks
+from millrace.functions.ngrams import blocks
 from millrace.sources import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
