@@ -257,3 +257,13 @@ def test_names_to_ask_again(spark):
     df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "a"), (2, "c"), (3, "c"), (4, None), (5, None), (6, "")], "line int, name string")
     again, taken = name_again(df, "name", "line")
     assert sorted(r.line for r in again.collect()) == [2, 3] and sorted(r.name for r in taken.collect()) == ["a", "b"]
+
+
+def test_signatures_agree_like_the_sets(spark, folder):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+    sets = {i: x for i, x in word_sets(rows, 5).items() if x}
+    got = {r.doc_id: r.signature for r in QUERIES["signatures"](spark, folder).collect()}
+    assert got.keys() == sets.keys() and {len(x) for x in got.values()} == {128}
+    ids = sorted(sets)
+    off = [abs(sum(x == y for x, y in zip(got[a], got[b])) / 128 - len(sets[a] & sets[b]) / len(sets[a] | sets[b])) for a in ids[:60] for b in ids if a < b]
+    assert max(off) < 0.2 and sum(off) / len(off) < 0.01

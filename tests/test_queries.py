@@ -44,4 +44,4 @@ def test_same_as_duckdb(spark, duck, folder, name):
 
 
 def test_every_other_query_has_a_test_of_its_own():
-    assert set(QUERIES) - set(SQL) == {"near_dedup", "cleanup_near", "articles", "extraction_counters", "balanced_sample", "generate_entities", "event_clusters", "subword_counts", "subword_stats_by_lang"}
+    assert set(QUERIES) - set(SQL) == {"near_dedup", "cleanup_near", "articles", "extraction_counters", "balanced_sample", "generate_entities", "event_clusters", "subword_counts", "subword_stats_by_lang", "signatures"}
