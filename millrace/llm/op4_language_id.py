@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from millrace.plans.names import quoted
 from millrace.sources import table
 
 #: Units a direction; documents sampled a language, windows cut from each and bytes a window, for
@@ -178,8 +179,8 @@ def held_out():
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def identify(docs: DataFrame, seed: int = 5) -> DataFrame:
-    """The language of every whole text: adds ``held_out, lang_pred, score`` to the input's columns.
+def identify(docs: DataFrame, seed: int = 5, names: tuple[str, str, str] = ("held_out", "lang_pred", "score")) -> DataFrame:
+    """The language of every whole text: adds ``held_out, lang_pred, score`` (or ``names``) to the input's columns.
 
     A network is trained on the driver in numpy from a bounded sample (SAMPLE_DOCS documents a
     language) of labelled documents that are not held out; only text and lang are learned from.
@@ -189,8 +190,8 @@ def identify(docs: DataFrame, seed: int = 5) -> DataFrame:
 
     ``lang_pred`` is ``und`` with score 0 for a null or empty text, one without a letter, and for
     all texts when nothing can be learned. Text is only ever predicted from text. Null ids and null
-    languages are kept as rows. Repeated rows are separate rows with equal answers. Columns named
-    held_out, lang_pred or score are replaced; all others are kept. Memory is bounded by a batch of
+    languages are kept as rows. Repeated rows are separate rows with equal answers. Columns with one of
+    the three names are replaced; all others are kept. Memory is bounded by a batch of
     rows and LANES windows; a very long text is read in pieces.
     """
     spark = docs.sparkSession
@@ -199,15 +200,16 @@ def identify(docs: DataFrame, seed: int = 5) -> DataFrame:
     if len(x):
         net.train(x, y, STEPS, BATCH, seed)
     reader = spark.sparkContext.broadcast(Reader(net) if len(x) else None)  # a few kB
-    keep = [c for c in docs.columns if c.lower() not in ("held_out", "lang_pred", "score")]
-    base = docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").rlike(r"\p{L}").alias("lang_pred"), held_out().alias("held_out"))
+    held, pred, score_ = names
+    keep = [c for c in docs.columns if c.lower() not in [n.lower() for n in names]]
+    base = docs.select(*quoted(*keep), F.col("text").rlike(r"\p{L}").alias(pred), held_out().alias(held))
 
     def predict(batches):
         r = reader.value
         for b in batches:
             n = b.num_rows
             best, score = np.full(n, "und", object), np.zeros(n)
-            letters = b.column(b.schema.get_field_index("lang_pred"))
+            letters = b.column(b.schema.get_field_index(pred))
             todo = np.flatnonzero(np.array(letters.fill_null(False).to_pylist(), bool)) if r else []
             if len(todo):
                 text = b.column(b.schema.get_field_index("text")).take(pa.array(todo)).cast(pa.binary()).cast(pa.large_binary())
@@ -221,9 +223,9 @@ def identify(docs: DataFrame, seed: int = 5) -> DataFrame:
                 best[todo] = np.array(r.labels, object)[top]
                 score[todo] = np.clip(total[np.arange(len(todo)), top] / size, 0, 1)
             cols = [b.column(b.schema.get_field_index(c)) for c in keep]
-            yield pa.RecordBatch.from_arrays([*cols, b.column(b.schema.get_field_index("held_out")), pa.array(best.tolist(), pa.string()), pa.array(score)], [*keep, "held_out", "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*cols, b.column(b.schema.get_field_index(held)), pa.array(best.tolist(), pa.string()), pa.array(score)], [*keep, *names])
 
-    out = base.select(*keep, "held_out").schema.add("lang_pred", "string").add("score", "double")
+    out = base.select(*quoted(*keep), held).schema.add(pred, "string").add(score_, "double")
     return base.mapInArrow(predict, out)
 
 

@@ -43,8 +43,8 @@ def boilerplate(docs: DataFrame, sites: int = SITES) -> DataFrame:
     return sure.union(seen.join(exact, ["h1", "h2"]).select("h1", "h2", "first_doc"))
 
 
-def without_boilerplate(docs: DataFrame, sites: int = SITES) -> DataFrame:
-    """Remove boilerplate lines: the same rows, with new ``text`` and ``n_lines, n_removed``.
+def without_boilerplate(docs: DataFrame, sites: int = SITES, names: tuple[str, str] = ("n_lines", "n_removed")) -> DataFrame:
+    """Remove boilerplate lines: the same rows, with new ``text`` and ``n_lines, n_removed`` (or ``names``).
 
     ``docs(doc_id, text, source, ..)``. A line of any length is compared without blanks at its ends,
     and counts once a document. One that is on ``sites`` distinct sources or more is removed from
@@ -58,8 +58,8 @@ def without_boilerplate(docs: DataFrame, sites: int = SITES) -> DataFrame:
 
     A null source is no site; a document with null doc_id or null text stays as it is (null text: 0
     lines). Repeated doc_ids are one document, all of whose rows lose the same lines. A document may
-    end with an empty text. Other columns are kept whatever their names, but ones named n_lines and
-    n_removed, which are replaced. An empty table gives no rows.
+    end with an empty text. Other columns are kept whatever their names, but ones with one of the
+    two names, which are replaced. An empty table gives no rows.
     """
     own = docs.select("doc_id", "text", "source")
     gone = written(boilerplate(own, sites), "boilerplate")
@@ -67,7 +67,7 @@ def without_boilerplate(docs: DataFrame, sites: int = SITES) -> DataFrame:
     row = F.xxhash64("text").alias("row")
     place = own.where("doc_id IS NOT NULL").select("doc_id", row, F.posexplode(F.transform(_lines(F.col("text")), lambda x: F.btrim(x))).alias("place", "line")).where("line <> ''")
     hits = place.select("doc_id", "row", "place", *_hashes("line")).join(gone, ["h1", "h2"]).where("doc_id <> first_doc")
-    rest = [c for c in docs.columns if c.lower() not in ("n_lines", "n_removed")]
+    rest = [c for c in docs.columns if c.lower() not in [n.lower() for n in names]]
     kept = docs.select(*quoted(*rest))
     id_, key, cut, left = fresh(kept, "cut_id", "cut_row", "cut", "left")
     cuts = hits.groupBy(F.col("doc_id").alias(id_), F.col("row").alias(key)).agg(F.collect_set("place").alias(cut))
@@ -78,8 +78,8 @@ def without_boilerplate(docs: DataFrame, sites: int = SITES) -> DataFrame:
     joined = joined.withColumn(left, F.when(F.col(cut).isNotNull(), F.array_join(F.element_at(F.transform(F.array(lines), stay), 1), "\n")))
     n = lambda a: F.when(text.isNull(), 0).otherwise(F.size(a)).cast("long")
     new = F.coalesce(left, text).alias("text")
-    removed = F.when(F.col(cut).isNull(), 0).otherwise(F.size(cut)).cast("long").alias("n_removed")
-    return joined.select(*[new if c == "text" else F.col(*quoted(c)) for c in rest], n(lines).alias("n_lines"), removed)
+    removed = F.when(F.col(cut).isNull(), 0).otherwise(F.size(cut)).cast("long").alias(names[1])
+    return joined.select(*[new if c == "text" else F.col(*quoted(c)) for c in rest], n(lines).alias(names[0]), removed)
 
 
 def op9_line_dedup(spark, folder: str) -> DataFrame:
