@@ -1,7 +1,10 @@
 """Raw documents to packed training sequences in five stages.
 
 Each stage takes (spark, docs, sf_dir) and returns the rows and columns that the next one works on;
-``run`` writes every stage to the shared folder and reads it back.
+``run`` writes every stage to the shared folder and reads it back. ``docs`` has at least the columns
+of ``documents``; all but the last stage return all of its columns, whatever the others are called.
+An empty table gives an empty table in every stage. Repeated rows are rows of their own in every
+stage but near_duplicates, and rows with a null doc_id are documents like others.
 """
 
 import public_tokenizers
@@ -14,6 +17,7 @@ from millrace.llm.op5_pii import masked
 from millrace.llm.op8_packing import TOKENIZER, pack
 from millrace.llm.op9_line_dedup import without_boilerplate
 from millrace.operators.cleaning import dense_id
+from millrace.plans.names import fresh, quoted
 from millrace.plans.ship import ship
 from millrace.plans.work import written
 from millrace.sources import table
@@ -23,16 +27,26 @@ SURE = 0.4
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a known language; ones without a letter, or of no clear language, go."""
+    """Documents in a known language; ones without a letter, or of no clear language, go.
+
+    The text decides: a null lang or source, a null doc_id and repeated rows change nothing, and a
+    null or empty text goes. If no row has a lang to learn from, no language is known and all go.
+    """
     ship(spark)
-    return identify(docs).where((F.col("lang_pred") != "und") & (F.col("score") >= SURE)).select(*docs.columns)
+    names = fresh(docs, "held_out", "lang_pred", "score")
+    return identify(docs, names=names).where((F.col(names[1]) != "und") & (F.col(names[2]) >= SURE)).select(*quoted(*docs.columns))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without cross-site boilerplate of any length; a document of which no letter is left goes: all it had stays elsewhere."""
+    """Texts without cross-site boilerplate of any length; a document of which no letter is left goes: all it had stays elsewhere.
+
+    Rows with a null doc_id, text or source stay as they are, and a null source is no site. Rows of
+    one doc_id lose the same lines. ``n_chars`` follows the text.
+    """
     ship(spark)
-    out = without_boilerplate(docs).where((F.col("n_removed") == 0) | F.col("text").rlike(r"\p{L}"))
-    return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    names = fresh(docs, "n_lines", "n_removed")
+    out = without_boilerplate(docs, names=names).where((F.col(names[1]) == 0) | F.col("text").rlike(r"\p{L}"))
+    return out.withColumn("n_chars", F.length("text").cast("long")).select(*quoted(*docs.columns))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,27 +57,29 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     rows of one doc_id are one row.
     """
     ship(spark)
-    shared = written(docs.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL").select(F.col("doc_id").alias("_shared")), "shared-ids")
-    same = F.col("doc_id").eqNullSafe(F.col("_shared"))
+    shared_, number, first_, top_, id_ = fresh(docs, "shared", "number", "first", "top", "id")
+    shared = written(docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 OR doc_id IS NULL").select(F.col("doc_id").alias(shared_)), "shared-ids")
+    same = F.col("doc_id").eqNullSafe(F.col(shared_))
     odd = docs.join(shared, same, "left_semi")
     odd = odd.where("doc_id IS NOT NULL").distinct().union(odd.where("doc_id IS NULL"))
-    odd = dense_id(odd, [F.col("doc_id").asc_nulls_last(), *(c for c in docs.columns if c != "doc_id")], "_n")
-    first = odd.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("_n").alias("_first"))
-    top = docs.agg(F.greatest(F.coalesce(F.max("doc_id"), F.lit(0)), F.lit(0)).cast("long").alias("_top"))
+    odd = dense_id(odd, [F.col("doc_id").asc_nulls_last(), *quoted(*(c for c in docs.columns if c != "doc_id"))], number)
+    first = odd.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(number).alias(first_))
+    top = docs.agg(F.greatest(F.coalesce(F.max("doc_id"), F.lit(0)), F.lit(0)).cast("long").alias(top_))
     odd = odd.join(first, "doc_id", "left").crossJoin(F.broadcast(top))  # one row
-    odd = odd.select(*docs.columns, F.when(F.col("_n") == F.col("_first"), F.col("doc_id")).otherwise(F.col("_top") + 1 + F.col("_n")).alias("_id"))
-    rows = docs.join(shared, same, "left_anti").withColumn("_id", F.col("doc_id")).union(written(odd, "shared-rows"))
-    kept = jaccard_classes(rows.select(F.col("_id").alias("doc_id"), "text")).where("kept").select(F.col("doc_id").alias("_id"))
-    return rows.join(kept, "_id", "left_semi").select(*docs.columns)
+    own = F.when(F.col(number) == F.col(first_), F.col("doc_id")).otherwise(F.col(top_) + 1 + F.col(number))
+    odd = odd.select(*quoted(*docs.columns), own.alias(id_))
+    rows = docs.join(shared, same, "left_anti").withColumn(id_, F.col("doc_id")).union(written(odd, "shared-rows"))
+    kept = jaccard_classes(rows.select(F.col(id_).alias("doc_id"), "text")).where("kept").select(F.col("doc_id").alias(id_))
+    return rows.join(kept, id_, "left_semi").select(*quoted(*docs.columns))
 
 
 def personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data in texts gives way to its kind."""
-    return masked(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    """Personal data and secrets in texts give way to their kind; every row stays, and a null text stays null. ``n_chars`` follows the text."""
+    return masked(docs).withColumn("n_chars", F.length("text").cast("long")).select(*quoted(*docs.columns))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of token sequences."""
+    """Pieces of token sequences; null and empty texts are one end mark, rows with a null or repeated doc_id documents of their own."""
     ship(spark)
     return pack(docs, public_tokenizers.path(TOKENIZER))
 
