@@ -651,3 +651,48 @@ def test_pipeline_removes_short_boilerplate(spark, folder):
     docs = docs_of(spark, [(i, f"own text number {i}\n\n Menu\nx{i}", "en", f"s{i}") for i in range(6)])
     got = {r.doc_id: r.text for r in cp.lines(spark, docs, folder).collect()}
     assert got == {i: f"own text number {i}\n" + ("\n Menu" if i == 0 else "") + f"\nx{i}" for i in range(6)}
+
+
+def test_pipeline_stages_on_odd_rows(spark, folder):
+    """Nulls in every column, empty and repeated rows, clashing columns, and no rows at all."""
+    import corpus_pipeline as cp
+
+    long = "Der Text ist lang und die Sprache ist klar, und das ist auch der Sinn der Sache. " * 3
+    rows = [(1, long + "eins", "de", "a"), (1, long + "eins", "de", "a"), (None, long + "ganz anders an diesem Ende " * 9, None, None), (2, None, "de", "a"), (3, "", None, "b"), (4, "1 2 3", "de", "b"), (5, long + "mail an x@y.org", "de", None)]
+    docs = docs_of(spark, rows * 1)
+    for name in ("cut", "left", "pii", "marks", "shared", "number", "id", "held_out", "lang_pred", "score", "n_lines", "rep", "gid"):
+        docs = docs.withColumn(name, F.lit(f"my {name}"))
+    want = {"language_id": 4, "line_dedup": 7, "jaccard_join": 6, "pii": 7}
+    for name, stage in cp.STAGES[:4]:
+        out = stage(spark, docs, folder)
+        assert out.columns == docs.columns
+        got = out.collect()
+        assert len(got) == want[name], name
+        assert all(r.pii == "my pii" and r.id == "my id" and r.left == "my left" and r.cut == "my cut" and r.score == "my score" and r.n_lines == "my n_lines" for r in got)
+        assert stage(spark, docs.limit(0), folder).count() == 0
+    pieces = cp.STAGES[4][1](spark, docs, folder).collect()
+    assert sum(r.start == 0 for r in pieces) == 7 and sum(r.doc_id is None for r in pieces) >= 1
+    assert cp.STAGES[4][1](spark, docs.limit(0), folder).count() == 0
+
+
+def test_pairs_and_lists_with_odd_rows(spark):
+    """Clashing columns, empty tables and repeated rows of the native operators."""
+    rows = [(1, "chosen", 0, "user", "q"), (1, "chosen", 0, "user", "q"), (1, "rejected", 0, "user", "q")]
+    t = spark.createDataFrame(rows, "pair_id long, side string, turn long, role string, text string")
+    t = t.withColumn("chosen", F.lit(1)).withColumn("n", F.lit(2)).withColumn("prompt", F.lit("x"))
+    got = op6.preference_pairs(t).first()
+    assert (got.n_prompt_turns, got.prompt, got.rejected) == (1, "<|user|>\nq<|end|>\n", "") and got.chosen == got.prompt
+    assert op6.preference_pairs(t.limit(0)).count() == 0
+    c = spark.createDataFrame([(1, "http://bad.com/", "2024-01-10")] * 2, "page_id long, url string, d string").select("*", F.col("d").cast("date").alias("fetched_on"), F.lit("x").alias("host"), F.lit("y").alias("verdict"), F.lit("z").alias("pattern"), F.lit(0).alias("month"))
+    e = spark.createDataFrame([("bad.com", "2024-01-10", "block")], "pattern string, d string, action string").select("pattern", F.col("d").cast("date").alias("listed_on"), "action", F.lit(1).alias("host"), F.lit(2).alias("valid_from"), F.lit(3).alias("o"))
+    assert [(r.page_id, r.host, r.verdict) for r in op10.url_verdicts(c, e).collect()] == [(1, "bad.com", "block")] * 2
+
+
+def test_tokens_with_odd_rows(spark):
+    """Repeated rows, null ids and clashing columns of the two tokenizing operators."""
+    df = spark.createDataFrame([(1, "one two"), (1, "one two"), (None, "one"), (2, None)], "doc_id long, text string")
+    df = df.selectExpr("*", "7 AS n_tokens", "8 AS part", "9 AS sequence_id", "'x' AS start", "0 AS offset")
+    got = op7.encode_documents(df, public_tokenizers.path(op7.RANKS)).collect()
+    assert sorted((r.doc_id or 0, r.n_tokens) for r in got) == [(0, 1), (1, 2), (1, 2), (2, 0)]
+    got = op8.pack(df, public_tokenizers.path(op8.TOKENIZER)).collect()
+    assert sorted((r.doc_id or 0, r.doc_tokens, r.length) for r in got) == [(0, 2, 2), (1, 3, 3), (1, 3, 3), (2, 1, 1)]
