@@ -119,7 +119,7 @@ def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD, width: int =
     one_text = d.join(grouped.select("gid", F.col("node").alias("id"), "weight", "rep", "h1", "h2"), F.col("doc_id") == F.col("rep"))
     members = one_text.select("gid", "id", "weight", "h1", "h2", "text").dropDuplicates(["id", "text"]).mapInArrow(sets, "gid long, id long, weight long, shingles array<long>")
     members = written(members.dropDuplicates(["id"]), "members")
-    members = written(with_cores(members, grouped, (1 + threshold) / 2), "marked")
+    members = with_cores(members, grouped, (1 + threshold) / 2)
     links = written(group_links(members, lambda t, a, b: jaccard_at_least(t, a, b, threshold), "shingles", BLOCK), "links")
     found = written(connected_components(links.select(F.col("root").alias("u"), F.col("id").alias("v"))), "found")
     counted = links.groupBy("id").agg(F.sum("n").alias("others"))
@@ -140,7 +140,9 @@ def with_cores(members: DataFrame, grouped: DataFrame, near: float) -> DataFrame
     Only groups above ``BLOCK`` rows have a centre: the member with the most tokens that are the
     commonest of the group at their place. Tokens are counted by aggregation, a centre is one row.
     """
-    big = grouped.groupBy("gid").count().where(F.col("count") > BLOCK).select("gid")
+    big = written(grouped.groupBy("gid").count().where(F.col("count") > BLOCK).select("gid"), "big-groups")
+    if big.isEmpty():  # no group has a centre
+        return members.select("gid", "id", "weight", F.lit(False).alias("core"), "shingles")
     tokens = grouped.join(big, "gid", "left_semi").select("gid", "node", F.posexplode("tokens").alias("place", "token"))
     common = tokens.groupBy("gid", "place", "token").count().groupBy("gid", "place").agg(F.max_by("token", F.struct("count", "token")).alias("token"))
     agree = tokens.join(common, ["gid", "place", "token"]).groupBy("gid", "node").count()
@@ -158,7 +160,7 @@ def with_cores(members: DataFrame, grouped: DataFrame, near: float) -> DataFrame
                 core[i] = common >= near * (len(x) + len(y) - common) + 1e-9
             yield pa.RecordBatch.from_arrays([col["gid"], col["id"], col["weight"], pa.array(core), col["shingles"]], ["gid", "id", "weight", "core", "shingles"])
 
-    return members.join(middle, "gid", "left").mapInArrow(cores, "gid long, id long, weight long, core boolean, shingles array<long>")
+    return written(members.join(middle, "gid", "left").mapInArrow(cores, "gid long, id long, weight long, core boolean, shingles array<long>"), "marked")
 
 
 def chosen_pairs(sets: DataFrame, agree: int, n_runs: int) -> DataFrame:
