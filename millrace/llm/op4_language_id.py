@@ -11,7 +11,7 @@ from millrace.sources import table
 
 #: Units a direction; documents sampled a language, windows cut from each and bytes a window, for
 #: training; training steps and windows a step.
-UNITS, SAMPLE_DOCS, SAMPLE_WINDOWS, SAMPLE_BYTES, STEPS, BATCH = 8, 300, 4, 96, 400, 128
+UNITS, SAMPLE_DOCS, SAMPLE_WINDOWS, SAMPLE_BYTES, STEPS, BATCH = 8, 300, 4, 96, 200, 128
 #: Bytes of a window at prediction and windows run side by side. Windows follow one another without
 #: a gap, and each starts from a zero state in both directions.
 SPAN, LANES = 128, 2048
