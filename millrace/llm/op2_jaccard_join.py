@@ -117,8 +117,14 @@ def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD, width: int =
                 yield pa.RecordBatch.from_arrays([*(mine[c].take(pa.array(good)) for c in ("gid", "id", "weight")), values], ["gid", "id", "weight", "shingles"])
 
     one_text = d.join(grouped.select("gid", F.col("node").alias("id"), "weight", "rep", "h1", "h2"), F.col("doc_id") == F.col("rep"))
-    members = one_text.select("gid", "id", "weight", "h1", "h2", "text").dropDuplicates(["id", "text"]).mapInArrow(sets, "gid long, id long, weight long, shingles array<long>")
-    members = written(members.dropDuplicates(["id"]), "members")
+    members = one_text.select("gid", "id", "weight", "h1", "h2", "text").mapInArrow(sets, "gid long, id long, weight long, shingles array<long>")
+    # only a doc_id of several rows gives a class twice; all others need no further shuffle of sets
+    again = written(sk.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("id")), "repeated-ids")
+    if not again.isEmpty():
+        members = written(members, "all-members")
+        many = classes.join(again, F.col("rep") == F.col("id"), "left_semi").select(F.col("node").alias("id"))
+        members = members.join(many, "id", "left_anti").unionByName(members.join(many, "id", "left_semi").dropDuplicates(["id"]))
+    members = written(members, "members")
     members = with_cores(members, grouped, (1 + threshold) / 2)
     links = written(group_links(members, lambda t, a, b: jaccard_at_least(t, a, b, threshold), "shingles", BLOCK), "links")
     found = written(connected_components(links.select(F.col("root").alias("u"), F.col("id").alias("v"))), "found")
