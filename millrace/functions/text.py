@@ -23,7 +23,12 @@ def strip(c: Column | str) -> Column:
 
 def collapse_spaces(c: Column | str) -> Column:
     """Words joined by single spaces."""
-    return F.btrim(F.regexp_replace(_c(c), f"[{SPACES}]+", " "))
+    return F.btrim(F.regexp_replace(_spaced(c), " {2,}", " "))
+
+
+def _spaced(c: Column | str) -> Column:
+    """Every white space character as a space: a table, which is faster than a pattern."""
+    return F.translate(_c(c), SPACE_CHARS, " " * len(SPACE_CHARS))
 
 
 def normalize_newlines(c: Column | str) -> Column:
@@ -51,8 +56,7 @@ def clean_text(c: Column | str) -> Column:
 
 def word_count(c: Column | str) -> Column:
     """Words between white space; 0 for null and blank."""
-    s = collapse_spaces(F.coalesce(_c(c), F.lit("")))
-    return F.when(s == "", 0).otherwise(F.size(F.split(s, " "))).cast("long")
+    return F.size(F.filter(F.split(_spaced(F.coalesce(_c(c), F.lit(""))), " "), lambda w: w != "")).cast("long")
 
 
 def is_valid(text: Column | str, title: Column | str, min_chars: int = 100, min_words: int = 20) -> Column:
